@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pagewright.llm import decontaminate, langid
+from pagewright.llm import decontaminate, langid, tokens
 from pagewright.llm.shared import table
 
 
+def op4_token_files(spark, sf_dir):
+    return tokens.read_token_files(tokens.write_token_files(table(spark, sf_dir, "documents")))
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs")
 
@@ -16,6 +20,7 @@ def op9_language_id(spark, sf_dir):
 
 def queries():
     return {
+        "op4_token_files": op4_token_files,
         "op7_decontaminate": op7_decontaminate,
         "op9_language_id": op9_language_id,
     }
