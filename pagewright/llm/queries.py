@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pagewright.llm import decontaminate, langid, tokens
-from pagewright.llm.shared import table
+from pagewright.llm import decontaminate, langid, packing, tokens
+from pagewright.llm.shared import stash, table
+
+
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.best_fit(stash(packing.token_lengths(table(spark, sf_dir, "documents")), "lengths"))
 
 
 def op4_token_files(spark, sf_dir):
@@ -20,6 +24,7 @@ def op9_language_id(spark, sf_dir):
 
 def queries():
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
         "op4_token_files": op4_token_files,
         "op7_decontaminate": op7_decontaminate,
         "op9_language_id": op9_language_id,
