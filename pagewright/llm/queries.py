@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagewright.llm import decontaminate, langid, packing, tokens
+from pagewright.llm import decontaminate, html_text, langid, packing, tokens
 from pagewright.llm.shared import stash, table
 
 
@@ -10,6 +10,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.best_fit(stash(packing.token_lengths(table(spark, sf_dir, "documents")), "lengths"))
 
 
+def op2_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_token_files(spark, sf_dir):
     return tokens.read_token_files(tokens.write_token_files(table(spark, sf_dir, "documents")))
 
@@ -25,6 +29,7 @@ def op9_language_id(spark, sf_dir):
 def queries():
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_html_extraction": op2_html_extraction,
         "op4_token_files": op4_token_files,
         "op7_decontaminate": op7_decontaminate,
         "op9_language_id": op9_language_id,
