@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagewright.llm import decontaminate, html_text, langid, packing, tokens
+from pagewright.llm import decontaminate, html_text, langid, packing, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -14,6 +14,10 @@ def op2_html_extraction(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity.predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark, sf_dir):
     return tokens.read_token_files(tokens.write_token_files(table(spark, sf_dir, "documents")))
 
@@ -30,6 +34,7 @@ def queries():
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_html_extraction": op2_html_extraction,
+        "op3_toxicity": op3_toxicity,
         "op4_token_files": op4_token_files,
         "op7_decontaminate": op7_decontaminate,
         "op9_language_id": op9_language_id,
