@@ -25,7 +25,9 @@ rest are exceptions.
 from __future__ import annotations
 
 import itertools
+import string
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -144,13 +146,19 @@ def decode_segment(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 # --- tokenization ----------------------------------------------------------------------------
 
 
-class Encoder:
+_PUNCTUATION = string.punctuation.encode()
+#: Byte-level tokenizers write a byte as a printable letter: itself, or the next free code point from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: b if b in _PRINTABLE else 256 + sum(c not in _PRINTABLE for c in range(b)) for b in range(256)}
+
+
+class Encoder(dict):
     """Ids of whole texts with a ``tokenizers`` file whose pre-tokenizer never crosses white space.
 
     What stands between ASCII white space always has the same ids, so each worker keeps those
-    of the words it has met and encodes only new ones, many in one call with a mark between
-    them.  The store has two generations of at most ``remember`` words: when the young one is
-    full it becomes the old one, and old words move back as they are met.
+    of the words it has met (this dictionary) and encodes only new ones.  The store has two
+    generations of at most ``remember`` words: when the young one is full it becomes the old
+    one, and old words move back as they are met.
 
     ASCII capitals are lowered first, which the tokenizer's own normalizer does anyway; texts
     with combining marks, where lowering could change what composes, are left as they are.
@@ -158,19 +166,20 @@ class Encoder:
 
     #: First byte of U+0300..U+033F, the marks that compose with ASCII letters.
     MARKS = b"\xcc"
-    MARK = "\x01"
     _by_path: dict[str, Encoder] = {}
 
-    def __init__(self, path: str, remember: int = 300_000, lower: bool = True):
+    def __init__(self, path: str, remember: int = 500_000, lower: bool = True):
         import os
 
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        (self.mark,) = self._ids([self.MARK])[0]
-        self.young: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
         self.old: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
         self.remember, self.lower = remember, lower
 
     @classmethod
@@ -180,37 +189,59 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        mark = self.MARK.encode()
-        plain = [w for w in words if mark not in w]
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            ids = np.asarray(self._ids([f" {self.MARK} ".join([w.decode("utf-8", "replace") for w in part])])[0], "<u4")
-            begin = 0
-            for word, end in zip(part, [*np.flatnonzero(ids == self.mark).tolist(), len(ids)], strict=True):
-                self.young[word] = ids[begin:end].tobytes()
-                begin = end + 1
-        odd = [w for w in words if mark in w]
-        for word, ids in zip(odd, self._ids([w.decode("utf-8", "replace") for w in odd]), strict=True):
-            self.young[word] = np.asarray(ids, "<u4").tobytes()
+    def whole(self, text: bytes) -> bytes:
+        """Ids by the tokenizer itself."""
+        (encoding,) = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return struct.pack(f"<{len(encoding.ids)}I", *encoding.ids)
+
+    def __missing__(self, word: bytes) -> bytes:
+        """A new word.  A lower-case word with ASCII punctuation behind it is two pre-tokens, of which the
+        first goes straight to the merge model; all others go through the whole tokenizer."""
+        ids = self.old.get(word)
+        if ids is None:
+            core = word.rstrip(_PUNCTUATION)
+            ids = self.cores.get(core)
+            if ids is None and (ids := self._merge(core)) is not None:
+                self.cores[core] = ids
+            if ids is None:
+                ids = self.whole(word)
+            elif len(core) < len(word):
+                tail = word[len(core) :]
+                if tail not in self.tails:
+                    self.tails[tail] = self.whole(tail)
+                ids += self.tails[tail]
+        self[word] = ids
+        return ids
+
+    def _merge(self, core: bytes) -> bytes | None:
+        """Ids of one lower-case word of letters; None for anything else."""
+        if core.isalpha():
+            if not core.islower():
+                return None
+            seen = core.decode("ascii")
+        elif not core:
+            return b""
+        else:
+            text = core.decode("utf-8", "replace")
+            if not text.isalpha() or text != text.lower() or not unicodedata.is_normalized("NFC", text):
+                return None
+            seen = core.decode("latin-1").translate(_BYTE_LETTERS)
+        found = [t.id for t in self.model.tokenize(seen)]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each UTF-8 text as little-endian unsigned 32-bit integers, without an end id."""
         out: list[bytes] = []
-        for at in range(0, len(texts), 256):
-            group = [(t.lower() if self.lower and self.MARKS not in t else t).split() for t in texts[at : at + 256]]
-            if len(self.young) > self.remember:
-                self.young, self.old = {}, self.young
-            new = set().union(*group).difference(self.young)
-            back = self.old.keys() & new
-            for word in back:
-                self.young[word] = self.old[word]
-            self._learn(list(new - back))
-            get = self.young.__getitem__
-            out += [b"".join(map(get, words)) for words in group]
+        get = self.__getitem__
+        for text in texts:
+            if len(self) > self.remember:
+                self.old = dict(self)
+                self.clear()
+            if len(self.cores) > self.remember:
+                self.cores.clear()
+            if len(self.tails) > self.remember:
+                self.tails.clear()
+            out.append(b"".join(map(get, (text.lower() if self.lower and self.MARKS not in text else text).split())))
         return out
 
 
@@ -287,9 +318,10 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(segments: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the written segments.
 
-    ``start`` is exact: a running sum over shards (one row each) plus the place in the shard.
+    ``start`` is exact: a running sum over shards plus the place in the shard.  The sums are
+    broadcast: one row per shard, of which there are as many as partitions were written.
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = segments.groupBy("shard").agg(F.sum("n_values").alias("n")).select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = segments.join(shards, "shard").select("doc_ids", "payload", (F.col("base") + F.col("start_in_shard")).alias("start"))
+    placed = segments.join(F.broadcast(shards), "shard").select("doc_ids", "payload", (F.col("base") + F.col("start_in_shard")).alias("start"))
     return placed.mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
