@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pagewright.llm import decontaminate, html_text, langid, packing, tokens, toxicity
+from pyspark.sql import functions as F
+
+from pagewright.llm import ann, decontaminate, html_text, langid, packing, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -22,6 +24,10 @@ def op4_token_files(spark, sf_dir):
     return tokens.read_token_files(tokens.write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op5_nearest_neighbours(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs")
 
@@ -36,6 +42,7 @@ def queries():
         "op2_html_extraction": op2_html_extraction,
         "op3_toxicity": op3_toxicity,
         "op4_token_files": op4_token_files,
+        "op5_nearest_neighbours": op5_nearest_neighbours,
         "op7_decontaminate": op7_decontaminate,
         "op9_language_id": op9_language_id,
     }
