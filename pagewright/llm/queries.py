@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.llm import ann, decontaminate, html_text, langid, packing, tokens, toxicity
+from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -32,6 +32,10 @@ def op7_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs")
 
 
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark, sf_dir):
     return langid.predict_languages(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def queries():
         "op4_token_files": op4_token_files,
         "op5_nearest_neighbours": op5_nearest_neighbours,
         "op7_decontaminate": op7_decontaminate,
+        "op8_minhash": op8_minhash,
         "op9_language_id": op9_language_id,
     }
 
