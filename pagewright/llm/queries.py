@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, tokens, toxicity
+from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, paragraphs, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -40,6 +40,10 @@ def op9_language_id(spark, sf_dir):
     return langid.predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op10_paragraph_dedup(spark, sf_dir):
+    return paragraphs.dedup_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -50,6 +54,7 @@ def queries():
         "op7_decontaminate": op7_decontaminate,
         "op8_minhash": op8_minhash,
         "op9_language_id": op9_language_id,
+        "op10_paragraph_dedup": op10_paragraph_dedup,
     }
 
 
