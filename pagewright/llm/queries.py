@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, paragraphs, tokens, toxicity
+from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, paragraphs, suffix_dedup, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -28,6 +28,10 @@ def op5_nearest_neighbours(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op7_decontaminate(spark, sf_dir):
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs")
 
@@ -51,6 +55,7 @@ def queries():
         "op3_toxicity": op3_toxicity,
         "op4_token_files": op4_token_files,
         "op5_nearest_neighbours": op5_nearest_neighbours,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_decontaminate": op7_decontaminate,
         "op8_minhash": op8_minhash,
         "op9_language_id": op9_language_id,
@@ -59,4 +64,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op7_decontaminate": decontaminate.ORACLE}
+    return {"op6_suffix_dedup": suffix_dedup.ORACLE, "op7_decontaminate": decontaminate.ORACLE}
