@@ -7,9 +7,9 @@ all registers of the document (early termination).  Two signatures agree in a re
 the probability Jaccard of the weighted shingle sets.
 
 Documents of equal word sequence are one class from the start.  Of each band bucket, a
-leader is compared with all others; those that it doesn't match form a smaller bucket with a
-leader of its own, until none is left.  So a bucket of n members costs n comparisons a
-round, never n * n, and no bucket is cut.  Candidate pairs whose signatures could belong to
+leader is compared with all others; those that it doesn't match form a smaller bucket with
+more leaders, until none is left.  No bucket is cut, and one of n similar members costs n
+comparisons, not n * n.  Candidate pairs whose signatures could belong to
 similar texts are verified by the exact Jaccard of their shingle sets.
 """
 
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import connected_components
@@ -32,6 +32,8 @@ BANDS = 24
 ROWS = 4
 #: Standard errors below the similarity at which a signature estimate rules a pair out.
 DOUBT = 5.0
+#: Growth of the number of leaders of a bucket from round to round.
+LEADERS = 8
 #: Bytes of document ids that may be broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -154,25 +156,30 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, similarity: flo
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda b: _verified(k, similarity, b), "a long, b long")
 
 
-def leaders(buckets: DataFrame) -> DataFrame:
-    """(bucket, id, leader): every member but the leader of each bucket with two members or more.
+def leaders(buckets: DataFrame, count: int = 1) -> DataFrame:
+    """(bucket, id, leader): every member of each bucket beside each of its ``count`` leaders.
 
-    The leader is the member of the least hash, so that buckets of the same members are led by different ones.
+    Leaders are the members of the least hashes, so that buckets of the same members are led by different ones.
     """
-    led = buckets.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    order = F.xxhash64("id", "bucket")
+    if count == 1:
+        led = buckets.groupBy("bucket").agg(F.min_by("id", order).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    else:  # the limit on the rank works before the shuffle
+        led = buckets.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(order, "id"))).where(F.col("place") <= count).select("bucket", F.col("id").alias("leader"))
     return buckets.join(led, "bucket").where("id <> leader")
 
 
 def pair_up(buckets: DataFrame, check) -> DataFrame:
     """(a, b) links between members of the same bucket for which ``check`` (pairs -> linked pairs) holds.
 
-    Round after round, the members that their bucket's leader doesn't match go on to a bucket without it.
+    Members that no leader of their bucket matches go on to a bucket without its leaders.  A
+    round has LEADERS times as many leaders as the one before, so a bucket of n members is
+    done after log(n) rounds, and what matches early is never compared again.
     """
     links = tried = None
-    rest = buckets
-    stale: list[DataFrame] = []
+    rest, stale, count = buckets, [], 1
     while True:
-        round_ = stash(leaders(rest), "led")
+        round_ = stash(leaders(rest, count), "led")
         stale.append(round_)
         if round_.isEmpty():
             break
@@ -183,11 +190,15 @@ def pair_up(buckets: DataFrame, check) -> DataFrame:
         linked = stash(check(pairs).distinct(), "linked")
         links = linked if links is None else links.union(linked)
         tried = pairs if tried is None else tried.union(pairs)
-        same = links.select(F.col("a").alias("x"), F.col("b").alias("y"))
-        unmatched = round_.join(same, (F.least("id", "leader") == F.col("x")) & (F.greatest("id", "leader") == F.col("y")), "left_anti").select("bucket", "id")
-        rest = stash(unmatched, "unmatched")
+        same = links.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(1).alias("is_link"))
+        seen = round_.join(same, (F.least("id", "leader") == F.col("x")) & (F.greatest("id", "leader") == F.col("y")), "left")
+        # a member goes on if it matched none, and is no leader itself
+        fate = seen.groupBy("bucket", "id").agg(F.max("is_link").alias("matched")).where("matched IS NULL").select("bucket", "id")
+        if count > 1:
+            fate = fate.join(round_.select("bucket", F.col("leader").alias("id")).distinct(), ["bucket", "id"], "left_anti")
+        rest = stash(fate, "unmatched")
         unstash(*stale)
-        stale = [rest]
+        stale, count = [rest], count * LEADERS
     return links if links is not None else rest.sparkSession.createDataFrame([], "a long, b long")
 
 
