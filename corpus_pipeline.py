@@ -1 +1,54 @@
-STAGES = []
+"""From raw documents to packed training sequences: five stages, each over all that its predecessor kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pagewright.llm import decontaminate, langid, minhash, packing, paragraphs
+from pagewright.llm.shared import crc_mod3, stash, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of undetermined language: no text, no letter.  A null ``lang`` becomes the predicted one."""
+    model = langid.fit(docs.where(crc_mod3("doc_id") != 1))
+    return langid.accepted(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays."""
+    return minhash.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Paragraphs that an earlier document holds go; ``n_chars`` follows the text.  A text may become empty."""
+    return paragraphs.dedup_paragraphs(docs, count_column="n_chars").select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark passages go."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' tokens in training sequences."""
+    return packing.best_fit(stash(packing.token_lengths(docs), "lengths"))
+
+
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontaminated),
+    ("packing", packed),
+]
+
+#: Trained models, components and packing have no SQL; tests hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages to ``documents``; each result but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stash(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -12,7 +12,6 @@ searched block after block and the runs found by each are merged.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,19 +104,26 @@ def _matches(words: Words, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarra
     return which, starts[low[which] + offset]
 
 
+def _hits(words: Words, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words of a shard are hit, and (window number, word position) of the windows that hit them."""
+    which, at = _matches(words, index)
+    if not len(which):
+        return np.zeros(len(words.hashes), bool), which, at
+    cover = np.zeros(len(words.hashes) + 1, np.int64)
+    np.add.at(cover, at, 1)
+    np.add.at(cover, at + index.lengths[which], -1)
+    return np.cumsum(cover[:-1]) > 0, which, at
+
+
 def _shard_runs(index: BenchmarkIndex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for lo, hi in slices(offsets):
             words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
-            which, at = _matches(words, index)
+            hit, which, at = _hits(words, index)
             runs: list[list] = [[] for _ in range(hi - lo)]
             items: list[set] = [set() for _ in range(hi - lo)]
             if len(which):
-                cover = np.zeros(len(words.hashes) + 1, np.int64)
-                np.add.at(cover, at, 1)
-                np.add.at(cover, at + index.lengths[which], -1)
-                hit = np.cumsum(cover[:-1]) > 0
                 doc_of = np.repeat(np.arange(hi - lo), words.counts)
                 edge = np.diff(hit.astype(np.int8), prepend=np.int8(0)) > 0
                 new_doc = np.zeros(len(hit), bool)
@@ -140,6 +146,26 @@ def _shard_runs(index: BenchmarkIndex, batches: Iterator[pa.RecordBatch]) -> Ite
             )
 
 
+def _clean(index: BenchmarkIndex, share: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        keep = np.ones(batch.num_rows, bool)
+        for lo, hi in slices(offsets):
+            words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
+            hit, which, _ = _hits(words, index)
+            if len(which):
+                n_hit = np.diff(np.concatenate([[0], np.cumsum(hit)])[words.first])
+                keep[lo:hi] = (n_hit == 0) | (n_hit * share < words.counts)
+        yield batch.filter(pa.array(keep))
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """Usable items, and the number of blocks of about ``block_bytes`` that they make."""
+    bench = slim(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
+    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return bench, max(1, -(-int(total) // block_bytes))
+
+
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 16 << 20) -> DataFrame:
     """Verbatim benchmark runs of every row of ``documents``.
 
@@ -149,11 +175,8 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     window; repeated rows are each reported; an empty benchmark hits nothing; other
     columns are ignored.
     """
-    spark = documents.sparkSession
     docs = slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    bench = slim(benchmark, "item_id", "text").select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    total = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-int(total) // block_bytes) if total else 1
+    bench, blocks = _blocks(benchmark, block_bytes)
     if blocks == 1:
         return _search(docs, [tuple(r) for r in bench.collect()], window)
     # a larger benchmark: block after block, each found run kept by row, then merged
@@ -194,15 +217,15 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = 16 << 20) -> DataFrame:
     """Rows of ``documents`` (all columns) that are not contaminated.  Null ids and texts stay."""
-    bad = contamination(documents, benchmark, window, share).where("contaminated").select(F.col("doc_id").alias("_bad_id")).distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(F.col("_bad_id")), "left_anti")
-
-
-def digest_of_items(items: list[str]) -> str:
-    """The items digest as plain Python (used by tests)."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    bench, blocks = _blocks(benchmark, block_bytes)
+    if blocks == 1:
+        index = documents.sparkSession.sparkContext.broadcast(BenchmarkIndex([tuple(r) for r in bench.collect()], window))
+        return documents.mapInArrow(lambda b: _clean(index.value, share, b), documents.schema)
+    marked = stash(documents.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-input")
+    bad = contamination(marked.select(F.col("_row").alias("doc_id"), "text"), benchmark, window, share, block_bytes).where("contaminated")
+    return marked.join(bad.select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")
 
 
 ORACLE = r"""

@@ -149,34 +149,57 @@ def infer(ll: np.ndarray, runs: np.ndarray, penalty: float = 2.0, steps: int = 1
 _OUT = "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>"
 
 
-def _score(model: LanguageModel, buckets: int, run: int, penalty: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _predict(model: LanguageModel, run: int, penalty: float, texts: pa.Array) -> tuple[list[str], np.ndarray, list[list[dict]]]:
+    """(language, share of it, all shares) of each text."""
     import regex
 
     letter = regex.compile(r"\p{L}")
+    _, offsets = text_bytes(texts)
+    preds, scores, shares = [UNDETERMINED] * len(texts), np.zeros(len(texts)), [[] for _ in range(len(texts))]
+    for lo, hi in slices(offsets):
+        part = pc.fill_null(texts.slice(lo, hi - lo), "")
+        known = np.array([bool(letter.search(t)) for t in part.to_pylist()]) & (len(model.languages) > 0)
+        if known.any():
+            rows = np.flatnonzero(known)
+            points, ends = _codepoints(pc.utf8_lower(part.take(pa.array(rows))))
+            ll = model.log_p[_trigrams(points, len(model.log_p))]
+            sizes = np.diff(ends)
+            runs = np.maximum(1, sizes // run)  # the last run takes the rest
+            doc = np.repeat(np.arange(len(runs)), runs)
+            starts = ends[:-1][doc] + run * (np.arange(len(doc)) - (np.cumsum(runs) - runs)[doc])
+            pi = infer(np.add.reduceat(ll, starts, axis=0).astype(np.float64), runs, penalty)
+            top = pi.argmax(1)
+            for r, k, p in zip(lo + rows, top, pi, strict=True):
+                preds[r], scores[r] = model.languages[k], min(1.0, float(p[k]))
+                shares[r] = [{"lang": model.languages[j], "share": float(p[j])} for j in np.argsort(-p, kind="stable") if p[j] > 0]
+    return preds, scores, shares
+
+
+def _score(model: LanguageModel, run: int, penalty: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text")
-        _, offsets = text_bytes(texts)
-        for lo, hi in slices(offsets):
-            part = pc.fill_null(texts.slice(lo, hi - lo), "")
-            known = np.array([bool(letter.search(t)) for t in part.to_pylist()]) & (len(model.languages) > 0)
-            preds, scores, shares = [UNDETERMINED] * (hi - lo), np.zeros(hi - lo), [[] for _ in range(hi - lo)]
-            if known.any():
-                rows = np.flatnonzero(known)
-                points, ends = _codepoints(pc.utf8_lower(part.take(pa.array(rows))))
-                ll = model.log_p[_trigrams(points, buckets)]
-                sizes = np.diff(ends)
-                runs = np.maximum(1, sizes // run)  # the last run takes the rest
-                doc = np.repeat(np.arange(len(runs)), runs)
-                starts = ends[:-1][doc] + run * (np.arange(len(doc)) - (np.cumsum(runs) - runs)[doc])
-                pi = infer(np.add.reduceat(ll, starts, axis=0).astype(np.float64), runs, penalty)
-                top = pi.argmax(1)
-                for r, k, p in zip(rows, top, pi, strict=True):
-                    preds[r], scores[r] = model.languages[k], min(1.0, float(p[k]))
-                    shares[r] = [{"lang": model.languages[j], "share": float(p[j])} for j in np.argsort(-p, kind="stable") if p[j] > 0]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), pa.array(preds, pa.string()), pa.array(scores), pa.array(shares, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
-                names=["doc_id", "lang_pred", "score", "languages"],
-            )
+        preds, scores, shares = _predict(model, run, penalty, batch.column("text"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores), pa.array(shares, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))],
+            names=["doc_id", "lang_pred", "score", "languages"],
+        )
+
+
+def _accept(model: LanguageModel, run: int, penalty: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        preds = pa.array(_predict(model, run, penalty, batch.column("text"))[0], pa.string())
+        if "lang" in batch.schema.names:
+            at = batch.schema.get_field_index("lang")
+            batch = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), preds))
+        yield batch.filter(pc.not_equal(preds, UNDETERMINED))
+
+
+def accepted(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty: float = 2.0) -> DataFrame:
+    """Rows of ``documents`` (all columns) whose language is determined; a null ``lang`` is filled in.  No shuffle.
+
+    Where the model knows no language, all rows go.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+    return documents.mapInArrow(lambda b: _accept(sent.value, run, penalty, b), documents.schema)
 
 
 def identify(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty: float = 2.0) -> DataFrame:
@@ -188,8 +211,7 @@ def identify(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty
     Repeated rows are each scored; other columns are ignored.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    buckets = len(model.log_p)
-    return slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(lambda b: _score(sent.value, buckets, run, penalty, b), _OUT)
+    return slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(lambda b: _score(sent.value, run, penalty, b), _OUT)
 
 
 def predict_languages(documents: DataFrame) -> DataFrame:

@@ -106,13 +106,14 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     return removed.select("doc_id", "row_hash", "position", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.position").alias("kept_position"))
 
 
-def dedup_paragraphs(documents: DataFrame, **options) -> DataFrame:
+def dedup_paragraphs(documents: DataFrame, count_column: str | None = None, **options) -> DataFrame:
     """All columns of ``documents`` with repeats removed from ``text``, and n_paragraphs, n_removed, removed, kept_in.
 
     ``removed`` are the positions (from 0, in lines) of removed paragraphs, ``kept_in`` the
     doc_ids that keep them.  Removed lines go with their line break; all else stays byte for
     byte.  Null and empty texts and texts of short paragraphs stay as they are; rows equal in
     doc_id and text are one document.  Existing columns of the four new names are replaced.
+    ``count_column``, if given, is set to the code points of each changed text.
     """
     removed = repeated_paragraphs(documents, **options).groupBy("doc_id", "row_hash").agg(
         F.array_sort(F.collect_set("position")).alias("removed"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_in")
@@ -123,8 +124,10 @@ def dedup_paragraphs(documents: DataFrame, **options) -> DataFrame:
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
     joined = joined.withColumn("_lines", F.when(F.col("_removed").isNotNull(), lines))
+    counted = {count_column: F.when(F.col("_removed").isNull(), F.col(count_column)).otherwise(F.length(left).cast(documents.schema[count_column].dataType))} if count_column else {}
     return joined.withColumns(
-        {
+        counted
+        | {
             "n_paragraphs": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
             "n_removed": F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")),
             "removed": F.coalesce("_removed", F.array().cast("array<int>")),

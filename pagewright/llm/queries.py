@@ -48,6 +48,12 @@ def op10_paragraph_dedup(spark, sf_dir):
     return paragraphs.dedup_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -60,6 +66,7 @@ def queries():
         "op8_minhash": op8_minhash,
         "op9_language_id": op9_language_id,
         "op10_paragraph_dedup": op10_paragraph_dedup,
+        "pipeline": pipeline,
     }
 
 
