@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import Words, slices, slim, stash, text_bytes
+from pagewright.llm.shared import Words, slices, slim, small_batches, stash, text_bytes
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
@@ -222,7 +222,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int
     bench, blocks = _blocks(benchmark, block_bytes)
     if blocks == 1:
         index = documents.sparkSession.sparkContext.broadcast(BenchmarkIndex([tuple(r) for r in bench.collect()], window))
-        return documents.mapInArrow(lambda b: _clean(index.value, share, b), documents.schema)
+        return small_batches(documents).mapInArrow(lambda b: _clean(index.value, share, b), documents.schema)
     marked = stash(documents.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-input")
     bad = contamination(marked.select(F.col("_row").alias("doc_id"), "text"), benchmark, window, share, block_bytes).where("contaminated")
     return marked.join(bad.select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import crc_mod3, slices, slim, text_bytes
+from pagewright.llm.shared import crc_mod3, slices, slim, small_batches, text_bytes
 
 #: Buckets of the hashed trigram models.
 BUCKETS = 1 << 16
@@ -199,7 +199,7 @@ def accepted(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty
     Where the model knows no language, all rows go.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    return documents.mapInArrow(lambda b: _accept(sent.value, run, penalty, b), documents.schema)
+    return small_batches(documents).mapInArrow(lambda b: _accept(sent.value, run, penalty, b), documents.schema)
 
 
 def identify(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty: float = 2.0) -> DataFrame:

@@ -6,11 +6,10 @@ register keeps its first arrival, and a process ends as soon as its next arrival
 all registers of the document (early termination).  Two signatures agree in a register with
 the probability Jaccard of the weighted shingle sets.
 
-Documents of equal word sequence are one class from the start.  Of each band bucket, a
-leader is compared with all others; those that it doesn't match form a smaller bucket with
-more leaders, until none is left.  No bucket is cut, and one of n similar members costs n
-comparisons, not n * n.  Candidate pairs whose signatures could belong to
-similar texts are verified by the exact Jaccard of their shingle sets.
+Documents of equal word sequence are one class from the start.  Each band bucket's members
+are compared with its leader; members that this doesn't connect meet all others of the
+bucket by signature (see ``components_by_signature``).  Candidate pairs whose signatures
+could belong to similar texts are verified by the exact Jaccard of their shingle sets.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import connected_components
@@ -27,13 +26,13 @@ from pagewright.llm.shared import Words, mix, slices, slim, stash, text_bytes, u
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: 24 bands of 4 registers: a pair of similarity 0.8 is missed with probability 3e-6.
-BANDS = 24
-ROWS = 4
+#: 32 bands of 6 registers: a pair of similarity 0.8 is missed with probability 6e-5, one of 0.5 seen with 0.4.
+BANDS = 32
+ROWS = 6
 #: Standard errors below the similarity at which a signature estimate rules a pair out.
-DOUBT = 5.0
-#: Growth of the number of leaders of a bucket from round to round.
-LEADERS = 8
+DOUBT = 4.0
+#: Members of a block, and probes of a chunk, in expectation.
+CELL = 2_048
 #: Bytes of document ids that may be broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -41,9 +40,10 @@ _LOW44 = np.uint64((1 << 44) - 1)
 
 
 def prob_minhash(elements: np.ndarray, weights: np.ndarray, doc: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
-    """Signatures (n_docs, registers) of weighted sets; ``elements`` are 64-bit hashes, ``doc`` their documents."""
+    """Signatures (n_docs, registers) of weighted sets, 16 bits of the element a register; ``elements`` are 64-bit
+    hashes, ``doc`` their documents."""
     first = np.full(n_docs * registers, np.inf)
-    signature = np.zeros(n_docs * registers, np.uint32)
+    signature = np.zeros(n_docs * registers, np.uint16)
     behind = np.full(n_docs, np.inf)
     arrival = np.zeros(len(elements))
     active = np.arange(len(elements))
@@ -63,7 +63,7 @@ def prob_minhash(elements: np.ndarray, weights: np.ndarray, doc: np.ndarray, n_d
         place, at = active_doc * registers + register, arrival[active]
         np.minimum.at(first, place, at)
         won = first[place] == at
-        signature[place[won]] = (elements[active[won]] >> np.uint64(7)).astype(np.uint32)
+        signature[place[won]] = (elements[active[won]] >> np.uint64(7)).astype(np.uint16)
         touched = np.unique(active_doc)
         behind[touched] = first.reshape(n_docs, registers)[touched].max(1)
     return signature.reshape(n_docs, registers)
@@ -112,7 +112,7 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _bands(bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            signatures = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(batch.num_rows, -1)
             ids = np.repeat(batch.column("id").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(band_hashes(signatures, bands, rows).ravel().view(np.int64)), pa.array(ids)], names=["bucket", "id"])
 
@@ -121,7 +121,7 @@ def _agreeing(least: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     """Pairs whose signatures agree in at least that share of the registers."""
     for batch in batches:
         if batch.num_rows:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("signature_a", "signature_b"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("signature_a", "signature_b"))
             yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(1) >= least))
 
 
@@ -149,64 +149,125 @@ def _verified(k: int, similarity: float, batches: Iterator[pa.RecordBatch]) -> I
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """Of (a, b) pairs of ids, those whose (id, text) rows are similar.  Only the texts of paired ids are moved."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct().toDF("id")
-    if ids.count() * 8 <= BROADCAST_BYTES:
-        texts = texts.join(F.broadcast(ids), "id", "left_semi")
+    texts = _only(texts, pairs.select("a").union(pairs.select("b")).distinct().toDF("id"))
     joined = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda b: _verified(k, similarity, b), "a long, b long")
 
 
-def leaders(buckets: DataFrame, count: int = 1) -> DataFrame:
-    """(bucket, id, leader): every member of each bucket beside each of its ``count`` leaders.
+def leaders(buckets: DataFrame) -> DataFrame:
+    """(bucket, id, leader): every member but the leader of each bucket with two members or more.
 
-    Leaders are the members of the least hashes, so that buckets of the same members are led by different ones.
+    The leader is the member of the least hash, so that buckets of the same members are led by different ones.
     """
-    order = F.xxhash64("id", "bucket")
-    if count == 1:
-        led = buckets.groupBy("bucket").agg(F.min_by("id", order).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    else:  # the limit on the rank works before the shuffle
-        led = buckets.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(order, "id"))).where(F.col("place") <= count).select("bucket", F.col("id").alias("leader"))
+    led = buckets.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     return buckets.join(led, "bucket").where("id <> leader")
 
 
-def pair_up(buckets: DataFrame, check) -> DataFrame:
-    """(a, b) links between members of the same bucket for which ``check`` (pairs -> linked pairs) holds.
+class _Sets:
+    """Sorted shingle hashes of some texts, and how many a set shares with others."""
 
-    Members that no leader of their bucket matches go on to a bucket without its leaders.  A
-    round has LEADERS times as many leaders as the one before, so a bucket of n members is
-    done after log(n) rounds, and what matches early is never compared again.
+    def __init__(self, texts: pa.Array, k: int):
+        parts, sizes = [np.zeros(0, np.uint64)], []
+        data, offsets = text_bytes(texts)
+        for lo, hi in slices(offsets):
+            hashes, first = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1]).shingles(k)
+            keys = np.unique(np.repeat(np.arange(hi - lo, dtype=np.uint64), np.diff(first)) << np.uint64(44) | hashes >> np.uint64(20))
+            parts.append(keys & _LOW44)
+            sizes.append(np.bincount((keys >> np.uint64(44)).astype(np.int64), minlength=hi - lo))
+        self.hashes = np.concatenate(parts)
+        self.sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        self.first = np.concatenate([[0], np.cumsum(self.sizes)])
+
+    def jaccard(self, row: int, others: np.ndarray) -> np.ndarray:
+        """Of one text with others, none of them wordless."""
+        own = self.hashes[self.first[row] : self.first[row + 1]]
+        sizes = self.sizes[others]
+        at = np.repeat(self.first[others] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        theirs = self.hashes[at]
+        place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        shared = np.add.reduceat((own[place] == theirs).astype(np.int64), np.cumsum(sizes) - sizes)
+        return shared / (len(own) + sizes - shared)
+
+
+def _compare(bands: int, rows_: int, least: float, k: int, similarity: float, table: pa.Table) -> pa.Table:
+    """Similar pairs of a probe and a member of the same cell (bucket, block, chunk) that aren't connected yet.
+
+    A pair that shares several buckets is judged in that of its first band only.
     """
-    links = tried = None
-    rest, stale, count = buckets, [], 1
-    while True:
-        round_ = stash(leaders(rest, count), "led")
-        stale.append(round_)
-        if round_.isEmpty():
-            break
-        pairs = round_.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stash(pairs, "pairs")
-        linked = stash(check(pairs).distinct(), "linked")
-        links = linked if links is None else links.union(linked)
-        tried = pairs if tried is None else tried.union(pairs)
-        same = links.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(1).alias("is_link"))
-        seen = round_.join(same, (F.least("id", "leader") == F.col("x")) & (F.greatest("id", "leader") == F.col("y")), "left")
-        # a member goes on if it matched none, and is no leader itself
-        fate = seen.groupBy("bucket", "id").agg(F.max("is_link").alias("matched")).where("matched IS NULL").select("bucket", "id")
-        if count > 1:
-            fate = fate.join(round_.select("bucket", F.col("leader").alias("id")).distinct(), ["bucket", "id"], "left_anti")
-        rest = stash(fate, "unmatched")
-        unstash(*stale)
-        stale, count = [rest], count * LEADERS
-    return links if links is not None else rest.sparkSession.createDataFrame([], "a long, b long")
+    cell = np.unique(np.stack([table.column(c).to_numpy() for c in ("bucket", "block", "chunk")]), axis=1, return_inverse=True)[1].ravel()
+    ids, component, probe, bucket = (table.column(c).to_numpy() for c in ("id", "component", "probe", "bucket"))
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(len(ids), -1)
+    band = (band_hashes(signatures, bands, rows_).view(np.int64) == bucket[:, None]).argmax(1)
+    sets = _Sets(table.column("text").combine_chunks(), k)
+    order = np.argsort(cell, kind="stable")
+    edges = np.flatnonzero(np.diff(cell[order], prepend=-1, append=-1))
+    found: list[tuple[int, int]] = []
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        rows = order[lo:hi]
+        probes, members = rows[probe[rows]], rows[~probe[rows]]
+        for p in probes.tolist():
+            same = signatures[p] == signatures[members]
+            alike = (same.mean(1) >= least) & (component[p] != component[members])
+            if alike.any():
+                at = members[alike]
+                first = same[alike].reshape(len(at), bands, rows_).all(2).argmax(1)
+                at = at[first == band[p]]
+                if len(at):
+                    linked = at[sets.jaccard(p, at) >= similarity - 1e-12]
+                    found += [(min(int(ids[p]), i), max(int(ids[p]), i)) for i in ids[linked].tolist()]
+    pairs = sorted(set(found))
+    return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+
+def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``texts`` (id, text) with the given ids; before a shuffle if the ids are few enough to broadcast."""
+    return texts.join(F.broadcast(ids), "id", "left_semi") if ids.count() * 8 <= BROADCAST_BYTES else texts
+
+
+def components_by_signature(signed: DataFrame, texts: DataFrame, bands: int, rows: int, k: int, similarity: float) -> DataFrame:
+    """(node, component) of ids linked, directly or through others, by similar texts that share a bucket.
+
+    signed: (id, signature), texts: (id, text).
+
+    First each bucket's members are compared with its leader, which connects groups of like
+    texts at one comparison a member.  Then the members that are still apart from their leader
+    meet all members of their bucket in cells of bounded size (a block of members and a chunk
+    of such probes), where signatures rule out most pairs and the texts decide the others.
+    """
+    spark = signed.sparkSession
+    least = max(0.0, similarity - DOUBT * (similarity * (1 - similarity) / (bands * rows)) ** 0.5)
+    buckets = stash(signed.mapInArrow(lambda b: _bands(bands, rows, b), "bucket long, id long"), "buckets")
+    led = stash(leaders(buckets), "led")
+    pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    a, b = (signed.select(F.col("id").alias(x), F.col("signature").alias(f"signature_{x}")) for x in "ab")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "signature_a", "signature_b")
+    close = stash(both.mapInArrow(lambda t: _agreeing(least, t), "a long, b long"), "close")
+    links = stash(verify(close, texts, k, similarity), "links")
+    component = stash(connected_components(links), "components")
+
+    everyone = led.union(led.select("bucket", "leader", "leader").distinct())
+    members = everyone.join(component.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component"))
+    members = members.join(component.toDF("leader", "leader_component"), "leader", "left").select("bucket", "id", "component", (F.col("component") != F.coalesce("leader_component", "leader")).alias("apart"))
+    members = stash(members, "members")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("apart").cast("long")).alias("r")).where("r > 0")
+    sized = stash(members.join(sizes.select("bucket", F.ceil(F.col("n") / CELL).alias("blocks"), F.ceil(F.col("r") / CELL).alias("chunks")), "bucket"), "sized")
+    up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    in_block = sized.select("bucket", F.pmod(F.xxhash64("id"), "blocks").alias("block"), up_to("chunks").alias("chunk"), "id", "component", F.lit(False).alias("probe"))
+    as_probe = sized.where("apart").select("bucket", up_to("blocks").alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), "chunks").alias("chunk"), "id", "component", F.lit(True).alias("probe"))
+    wanted = _only(texts, sized.select("id").distinct())
+    cells = in_block.unionByName(as_probe).join(signed.select("id", "signature").join(wanted, "id"), "id")
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("bucket", "block", "chunk"), F.lit(parts))
+    met = cells.withColumn("part", part).groupBy("part").applyInArrow(lambda t: _compare(bands, rows, least, k, similarity, t), "a long, b long")
+    more = stash(met, "links")
+    unstash(buckets, led, members, component, sized)
+    return connected_components(links.union(more))
 
 
 def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id, n_links, is_kept) of every row: documents linked by similarity have the same class.
+    """(doc_id, class_id, is_kept) of every row: documents linked by similarity have the same class.
 
-    ``class_id`` is the least doc_id of the class, ``is_kept`` marks that document, ``n_links``
-    counts the verified links of the document's text (copies not counted).  Words are those of
+    ``class_id`` is the least doc_id of the class, ``is_kept`` marks that document.  Words are those of
     lower-cased text; a text of fewer words than ``k`` is one shingle.  Null, empty and
     wordless texts are alone in their class.  Rows that repeat a doc_id count as copies of
     one document: they get the same, least class.  A null doc_id has a null class.  Other
@@ -220,24 +281,10 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float =
     member = stash(worded.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "id").distinct(), "members")
     # one signature for each text
     texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")).select("id", "signature"), "texts")
-    buckets = stash(texts.mapInArrow(lambda b: _bands(bands, rows, b), "bucket long, id long"), "buckets")
-    spread = (similarity * (1 - similarity) / registers) ** 0.5
-    least = max(0.0, similarity - DOUBT * spread)
-
-    def check(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(texts.toDF("a", "signature_a"), "a")
-        close = stash(with_a.join(texts.toDF("b", "signature_b"), "b").select("a", "b", "signature_a", "signature_b").mapInArrow(lambda b: _agreeing(least, b), "a long, b long"), "close")
-        return verify(close, source.withColumnRenamed("doc_id", "id"), k, similarity)
-
-    links = pair_up(buckets, check)
-    unstash(buckets)
-    components = connected_components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
-    placed = placed.groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"), F.max(F.coalesce("n_links", F.lit(0))).alias("n_links"))
-    return signed.select("doc_id").join(placed, "doc_id", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("class_id", "doc_id") == F.col("doc_id")).alias("is_kept")
-    )
+    components = components_by_signature(texts, source.withColumnRenamed("doc_id", "id"), bands, rows, k, similarity)
+    placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"))
+    own = F.coalesce("class_id", "doc_id")
+    return signed.select("doc_id").join(placed, "doc_id", "left").select("doc_id", own.alias("class_id"), (own == F.col("doc_id")).alias("is_kept"))
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:

@@ -27,6 +27,8 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence of c tokens: c + c * c / SPAN + OVERHEAD (work per token, attention over pairs, fixed work).
 OVERHEAD = 64.0
 SPAN = 16_384.0
+#: Words whose ids a worker keeps while it counts tokens.
+REMEMBER = 200_000
 #: Rows of a packing group, in expectation.
 GROUP_ROWS = 50_000
 
@@ -141,7 +143,7 @@ def best_fit(sized: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead:
 
 
 def _lengths(path: str | None, extra: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder.of(path or tokenizer_path())
+    encoder = Encoder.of(path or tokenizer_path(), REMEMBER)
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         counts: list[int] = []

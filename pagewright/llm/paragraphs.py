@@ -16,9 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.components import connected_components
-from pagewright.llm.minhash import SHINGLE, SIMILARITY, band_hashes, pair_up, prob_minhash, verify
-from pagewright.llm.shared import Words, slices, slim, stash, text_bytes, unstash
+from pagewright.llm.minhash import SHINGLE, SIMILARITY, components_by_signature, prob_minhash
+from pagewright.llm.shared import Words, slices, slim, stash, text_bytes
 
 MIN_WORDS = 20
 RECALL = 0.999
@@ -36,10 +35,10 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, unlike: f
     raise ValueError("no banding has that recall and that share of false candidates")
 
 
-_PARTS = "doc_id long, row_hash long, position int, k1 long, k2 long, bands array<long>, text string"
+_PARTS = "doc_id long, row_hash long, position int, k1 long, k2 long, signature binary, text string"
 
 
-def _paragraphs(k: int, min_words: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _paragraphs(k: int, min_words: int, registers: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         for lo, hi in slices(offsets):
@@ -57,7 +56,7 @@ def _paragraphs(k: int, min_words: int, bands: int, rows: int, batches: Iterator
             paragraph = np.repeat(np.arange(len(counts)), counts)[chosen]
             elements = hashes[chosen]
             # repeated shingles of a paragraph draw the same arrivals: the sets' plain Jaccard
-            signature = prob_minhash(elements, np.ones(len(elements)), number[paragraph], len(keep), bands * rows)
+            signature = prob_minhash(elements, np.ones(len(elements)), number[paragraph], len(keep), registers)
             k1, k2 = words.sequence_keys()
             begin, end = starts[keep], starts[keep + 1]
             doc = np.searchsorted(own, begin, "right") - 1
@@ -72,10 +71,10 @@ def _paragraphs(k: int, min_words: int, bands: int, rows: int, batches: Iterator
                     pa.array(position, pa.int32()),
                     pa.array(k1[keep].view(np.int64)),
                     pa.array(k2[keep].view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * bands, pa.int32()), pa.array(band_hashes(signature, bands, rows).ravel().view(np.int64))),
+                    pa.array([row.tobytes() for row in signature], pa.binary()),
                     pa.array(texts, pa.binary()).cast(pa.string()),
                 ],
-                names=["doc_id", "row_hash", "position", "k1", "k2", "bands", "text"],
+                names=["doc_id", "row_hash", "position", "k1", "k2", "signature", "text"],
             )
 
 
@@ -87,16 +86,14 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     """
     bands, rows = tune_bands(similarity, recall)
     source = slim(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_hash"), "text").where("text IS NOT NULL")
-    found = source.mapInArrow(lambda b: _paragraphs(k, min_words, bands, rows, b), _PARTS)
+    found = source.mapInArrow(lambda b: _paragraphs(k, min_words, bands * rows, b), _PARTS)
     parts = stash(found.withColumn("id", F.monotonically_increasing_id()), "paragraphs")
     # equal paragraphs collapse to the first
     same = parts.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     firsts = stash(same.select("id", "n", "k1", "k2"), "distinct-paragraphs")
     texts = parts.select("id", "text").join(firsts.select("id"), "id", "left_semi")
-    buckets = stash(parts.select("id", "bands").join(firsts.select("id"), "id", "left_semi").select(F.explode("bands").alias("bucket"), "id"), "buckets")
-    links = pair_up(buckets, lambda pairs: verify(pairs, texts, k, similarity))
-    unstash(buckets)
-    components = connected_components(links)
+    signed = parts.select("id", "signature").join(firsts.select("id"), "id", "left_semi")
+    components = components_by_signature(stash(signed, "signed"), texts, bands, rows, k, similarity)
     grouped = firsts.join(components.withColumnRenamed("node", "id"), "id", "left").where("component IS NOT NULL OR n > 1").select("k1", "k2", F.coalesce("component", "id").alias("component"))
     members = stash(parts.select("doc_id", "row_hash", "position", "k1", "k2").join(grouped, ["k1", "k2"]).select("component", "doc_id", "row_hash", "position"), "repeats")
     # ids first, positions second: both minima are computed before the shuffle

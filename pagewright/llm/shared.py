@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text worked on at once inside a Python worker (a longer document is worked on alone).
 SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch (a larger row is a batch of its own).
+BATCH_BYTES = 16 << 20
 
 
 # --- storage ---------------------------------------------------------------------------------
@@ -62,9 +64,15 @@ def crc_mod3(doc_id: Column | str) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bounds the bytes of an Arrow batch, and so a Python worker's memory, however long the texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def slim(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns of the input can't clash with ours."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    """Only the named columns, so that extra columns of the input can't clash with ours; in small batches."""
+    return small_batches(df).select(*[F.col(f"`{n}`") for n in names])
 
 
 # --- batches ---------------------------------------------------------------------------------

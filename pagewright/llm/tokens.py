@@ -183,10 +183,10 @@ class Encoder(dict):
         self.remember, self.lower = remember, lower
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, remember: int = 500_000) -> Encoder:
         """The worker's own encoder of that file."""
         if path not in cls._by_path:
-            cls._by_path[path] = cls(path)
+            cls._by_path[path] = cls(path, remember)
         return cls._by_path[path]
 
     def whole(self, text: bytes) -> bytes:
