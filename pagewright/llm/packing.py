@@ -96,7 +96,7 @@ _OUT = "doc_id long, piece int, piece_start long, n_tokens long, bin_id long, bi
 def _pack_group(capacities: Sequence[int], overhead: float, span: float, table: pa.Table) -> pa.Table:
     ids, lengths = table.column("doc_id").to_pylist(), table.column("n_tokens").to_pylist()
     group = int(table.column("_group")[0].as_py())
-    rows = sorted(zip(ids, lengths, strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    rows = sorted(zip(ids, lengths, strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1] or 0))
     doc, piece, start, size = [], [], [], []
     for doc_id, length in rows:
         at = 0

@@ -201,9 +201,11 @@ _FOUND = "doc_id long, spans binary, asked binary"
 
 
 def _by_document(ids: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    if not len(ids):
+        return
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
-    first = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1)) if len(ids) else order
+    first = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
     for s, e in zip(first, np.append(first[1:], len(ids)), strict=True):
         yield int(ids[s]), [c[order[s:e]] for c in columns]
 
