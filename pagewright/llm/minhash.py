@@ -277,10 +277,10 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float =
     registers = bands * rows
     signed = stash(source.mapInArrow(lambda b: _sign(k, registers, b), _SIGNED), "signatures")
     worded = signed.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
-    classes = worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("id"))
-    member = stash(worded.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "id").distinct(), "members")
-    # one signature for each text
-    texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")).select("id", "signature"), "texts")
+    # one signature for each text; written, so that the joins with it deal out their rows anew and can split hot keys
+    texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")), "texts")
+    member = worded.select("doc_id", "k1", "k2").join(texts.select("k1", "k2", "id"), ["k1", "k2"]).select("doc_id", "id").distinct()
+    texts = texts.select("id", "signature")
     components = components_by_signature(texts, source.withColumnRenamed("doc_id", "id"), bands, rows, k, similarity)
     placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"))
     own = F.coalesce("class_id", "doc_id")

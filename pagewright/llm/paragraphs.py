@@ -94,11 +94,12 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     texts = parts.select("id", "text").join(firsts.select("id"), "id", "left_semi")
     signed = parts.select("id", "signature").join(firsts.select("id"), "id", "left_semi")
     components = components_by_signature(stash(signed, "signed"), texts, bands, rows, k, similarity)
-    grouped = firsts.join(components.withColumnRenamed("node", "id"), "id", "left").where("component IS NOT NULL OR n > 1").select("k1", "k2", F.coalesce("component", "id").alias("component"))
+    # written, as below, so that the joins with them deal out their rows anew and can split hot keys
+    grouped = stash(firsts.join(components.withColumnRenamed("node", "id"), "id", "left").where("component IS NOT NULL OR n > 1").select("k1", "k2", F.coalesce("component", "id").alias("component")), "grouped")
     members = stash(parts.select("doc_id", "row_hash", "position", "k1", "k2").join(grouped, ["k1", "k2"]).select("component", "doc_id", "row_hash", "position"), "repeats")
     # ids first, positions second: both minima are computed before the shuffle
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "position", "row_hash")
-    kept = members.groupBy("component").agg(F.min(order).alias("kept"))
+    kept = stash(members.groupBy("component").agg(F.min(order).alias("kept")), "kept")
     removed = members.join(kept, "component").where(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("row_hash") == F.col("kept.row_hash")) & (F.col("position") == F.col("kept.position"))))
     return removed.select("doc_id", "row_hash", "position", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.position").alias("kept_position"))
 
