@@ -32,9 +32,9 @@ ROWS = 6
 #: Standard errors below the similarity at which a signature estimate rules a pair out.
 DOUBT = 4.0
 #: Members of a block, and probes of a chunk, in expectation.
-CELL = 2_048
-#: Bytes of document ids that may be broadcast.
-BROADCAST_BYTES = 8 << 20
+CELL = 1_024
+#: Bytes of ids or removals that may be broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 _LOW44 = np.uint64((1 << 44) - 1)
 
@@ -289,7 +289,12 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float =
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
     """Rows of ``documents`` (all columns), one of each class: the one with the least doc_id.  Rows without a doc_id stay."""
-    gone = near_duplicates(documents, **options).where("NOT is_kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = documents.join(gone, documents["doc_id"] == F.col("_gone"), "left_anti")
-    twice = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return twice.unionByName(kept.where("doc_id IS NULL"))
+    classes = stash(near_duplicates(documents, **options), "classes")
+    gone = classes.where("NOT is_kept").select(F.col("doc_id").alias("_gone")).distinct()
+    few = gone.count() * 8 <= BROADCAST_BYTES
+    kept = documents.join(F.broadcast(gone) if few else gone, documents["doc_id"] == F.col("_gone"), "left_anti")
+    twice = classes.where("is_kept").groupBy("doc_id").count().where("count > 1")
+    if twice.isEmpty():
+        return kept
+    # rows that repeat an id: one of each stays
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.minhash import SHINGLE, SIMILARITY, components_by_signature, prob_minhash
+from pagewright.llm.minhash import BROADCAST_BYTES, SHINGLE, SIMILARITY, components_by_signature, prob_minhash
 from pagewright.llm.shared import Words, slices, slim, stash, text_bytes
 
 MIN_WORDS = 20
@@ -91,7 +91,7 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     # equal paragraphs collapse to the first
     same = parts.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     firsts = stash(same.select("id", "n", "k1", "k2"), "distinct-paragraphs")
-    texts = parts.select("id", "text").join(firsts.select("id"), "id", "left_semi")
+    texts = parts.select("id", "text")
     signed = parts.select("id", "signature").join(firsts.select("id"), "id", "left_semi")
     components = components_by_signature(stash(signed, "signed"), texts, bands, rows, k, similarity)
     # written, as below, so that the joins with them deal out their rows anew and can split hot keys
@@ -117,7 +117,8 @@ def dedup_paragraphs(documents: DataFrame, count_column: str | None = None, **op
         F.array_sort(F.collect_set("position")).alias("removed"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_in")
     )
     removed = stash(removed.toDF("_doc_id", "_row_hash", "_removed", "_kept_in"), "removals")
-    joined = documents.join(removed, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_row_hash")), "left")
+    size = removed.agg(F.sum(48 + 4 * F.size("_removed") + 8 * F.size("_kept_in"))).first()[0] or 0
+    joined = documents.join(F.broadcast(removed) if size <= BROADCAST_BYTES else removed, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_row_hash")), "left")
     lines = F.split("text", "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
     left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
