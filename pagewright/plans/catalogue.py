@@ -450,9 +450,9 @@ def _(spark, d):
     return sequence.segment_flags(rows).select("page_id", "box_id", "seg_start_flag", "seg_end_flag")
 
 
-@query("reading_index", f"{WITH} SELECT page_id, box_id, label, CASE WHEN label IN ('text', 'paragraph_title', 'table') THEN CAST(sum(CAST(label IN ('text', 'paragraph_title', 'table') AS INT)) OVER (PARTITION BY page_id ORDER BY box_id ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS order_index FROM fx")
+@query("reading_index", f"{WITH} SELECT page_id, box_id, label, CASE WHEN label IN ('text', 'paragraph_title', 'table') THEN CAST(sum(CAST(label IN ('text', 'paragraph_title', 'table') AS INT)) OVER (PARTITION BY page_id ORDER BY box_id ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS order_index FROM fx QUALIFY order_index IS NOT NULL")
 def _(spark, d):
-    return sequence.number_in_order(boxes(spark, d), ("text", "paragraph_title", "table")).select("page_id", "box_id", "label", "order_index")
+    return sequence.number_in_order(boxes(spark, d), ("text", "paragraph_title", "table")).where("order_index IS NOT NULL").select("page_id", "box_id", "label", "order_index")
 
 
 @query("page_batches", "SELECT doc_id, source, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 8 AS BIGINT) AS batch_id FROM documents")

@@ -1,5 +1,6 @@
 """Every layout query with SQL returns the rows that DuckDB returns for it."""
 
+import pandas as pd
 import pytest
 
 from pagewright.plans import catalogue
@@ -7,7 +8,7 @@ from pagewright.plans import catalogue
 
 def canonical(df):
     def one(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "~"
         return repr(round(float(v), 9)) if isinstance(v, float) else str(v)
 
