@@ -44,7 +44,7 @@ def two_column_order(blocks: DataFrame, page_width: int) -> DataFrame:
     # a crossing block closes the band before it and comes last in it
     rows = rows.withColumn("_band", F.sum((F.col("_side") == 2).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.when(F.col("_side") == 2, 1).otherwise(0))
     place = F.row_number().over(Window.partitionBy(PAGE).orderBy("_band", "_side", "y1", "x1", "box_id"))
-    return rows.select(PAGE, "box_id", place.alias("place"))
+    return rows.select(PAGE, "box_id", place.cast("long").alias("place"))
 
 
 def normal_order(blocks: DataFrame, line_height: int, line_width: int, direction: str = "horizontal") -> DataFrame:
@@ -52,25 +52,25 @@ def normal_order(blocks: DataFrame, line_height: int, line_width: int, direction
     row, col = F.floor(F.col("y1") / line_height), F.floor(F.col("x1") / line_width)
     centre = (F.col("x1") + F.col("x2")) * (F.col("x1") + F.col("x2")) + (F.col("y1") + F.col("y2")) * (F.col("y1") + F.col("y2"))
     keys = (row, col) if direction == "horizontal" else (-F.floor(F.col("x1") / line_width), F.floor(F.col("y1") / line_height))
-    return blocks.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy(*keys, centre, "box_id")).alias("place"))
+    return blocks.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy(*keys, centre, "box_id")).cast("long").alias("place"))
 
 
 def child_order(children: DataFrame, direction: str = "horizontal") -> DataFrame:
     """(page_id, parent_block_id, box_id, place): children along the reading direction, then across it."""
     keys = ("y1", "x1") if direction == "horizontal" else ("x1", "y1")
-    return children.select(PAGE, "parent_block_id", "box_id", F.row_number().over(Window.partitionBy(PAGE, "parent_block_id").orderBy(*keys, "box_id")).alias("place"))
+    return children.select(PAGE, "parent_block_id", "box_id", F.row_number().over(Window.partitionBy(PAGE, "parent_block_id").orderBy(*keys, "box_id")).cast("long").alias("place"))
 
 
 def by_area(regions: DataFrame) -> DataFrame:
     """Regions from the smallest, ties to the smaller id: (page_id, box_id, place)."""
-    return regions.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy(G.area(G.box()), "box_id")).alias("place"))
+    return regions.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy(G.area(G.box()), "box_id")).cast("long").alias("place"))
 
 
 def top_classes(rows: DataFrame, scores: str, k: int, *keys: str) -> DataFrame:
     """(keys, class_id, score, place): the k best classes of a score array, scores to five places, ties to the smaller class."""
     listed = F.transform(F.col(scores), lambda s, i: F.struct((-s).alias("neg"), i.alias("class_id")))
     best = rows.select(*keys, F.posexplode(F.slice(F.array_sort(listed), 1, k)).alias("p", "c"))
-    return best.select(*keys, F.col("c.class_id").alias("class_id"), F.round(-F.col("c.neg"), 5).alias("score"), (F.col("p") + 1).alias("place"))
+    return best.select(*keys, F.col("c.class_id").alias("class_id"), F.round(-F.col("c.neg"), 5).alias("score"), (F.col("p") + 1).cast("long").alias("place"))
 
 
 def argmax(scores: Column) -> Column:

@@ -69,7 +69,7 @@ def word_box_lines(boxes: DataFrame, threshold: float) -> DataFrame:
     rows = boxes.withColumns({"_cy": cy, "_cx": cx})
     rows = rows.withColumn("_new", F.when(F.col("_cy") - F.lag("_cy").over(order) < threshold, 0).otherwise(1))
     rows = rows.withColumn("line", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.select(PAGE, "box_id", "line", F.row_number().over(Window.partitionBy(PAGE, "line").orderBy("_cx", "box_id")).alias("place"))
+    return rows.select(PAGE, "box_id", "line", F.row_number().over(Window.partitionBy(PAGE, "line").orderBy("_cx", "box_id")).cast("long").alias("place"))
 
 
 def _fold_lines(sorted_boxes: str, joins, grow) -> Column:
@@ -96,7 +96,7 @@ def _lines(boxes: DataFrame, joins, grow) -> DataFrame:
     entry = F.struct("y1", "box_id", "x1", "x2", "y2")
     pages = boxes.groupBy(PAGE).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     rows = pages.select(PAGE, F.explode(_fold_lines("entries", joins, grow)).alias("r")).select(PAGE, "r.*")
-    return rows.select(PAGE, "box_id", "line", F.row_number().over(Window.partitionBy(PAGE, "line").orderBy("x1", "box_id")).alias("place"))
+    return rows.select(PAGE, "box_id", "line", F.row_number().over(Window.partitionBy(PAGE, "line").orderBy("x1", "box_id")).cast("long").alias("place"))
 
 
 def group_lines(boxes: DataFrame, share: float = 0.6) -> DataFrame:
@@ -154,12 +154,12 @@ def quad_order(boxes: DataFrame, nearby: int = 10) -> DataFrame:
         return F.concat(F.slice(done, F.lit(1), at), F.array(c), F.slice(done, at + 1, passed))
 
     placed = pages.select(PAGE, F.aggregate("entries", F.slice(F.col("entries"), 1, 0), insert).alias("s"))
-    return placed.select(PAGE, F.posexplode("s").alias("p", "e")).select(PAGE, F.col("e.box_id").alias("box_id"), (F.col("p") + 1).alias("place"))
+    return placed.select(PAGE, F.posexplode("s").alias("p", "e")).select(PAGE, F.col("e.box_id").alias("box_id"), (F.col("p") + 1).cast("long").alias("place"))
 
 
 def order_by_top(boxes: DataFrame) -> DataFrame:
     """(page_id, box_id, place): by least y, ties to the smaller box_id."""
-    return boxes.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy("y1", "box_id")).alias("place"))
+    return boxes.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy("y1", "box_id")).cast("long").alias("place"))
 
 
 def drop_odd_heights(lines: DataFrame) -> DataFrame:

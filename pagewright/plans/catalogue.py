@@ -142,7 +142,7 @@ def _(spark, d):
     from pyspark.sql import Window
 
     rows = boxes(spark, d).where("x1 >= 300 AND x2 <= 1200")
-    return rows.select("page_id", "box_id", F.row_number().over(Window.partitionBy("page_id").orderBy("x2", "box_id")).alias("place"))
+    return rows.select("page_id", "box_id", F.row_number().over(Window.partitionBy("page_id").orderBy("x2", "box_id")).cast("long").alias("place"))
 
 
 @query("project_sides", f"{WITH} SELECT page_id, box_id, CASE WHEN w THEN x1 ELSE y1 END AS s, CASE WHEN w THEN x2 ELSE y2 END AS e, CASE WHEN w THEN x2 - x1 ELSE y2 - y1 END AS l, CASE WHEN w THEN y2 - y1 ELSE x2 - x1 END AS t FROM (SELECT *, x2 - x1 >= y2 - y1 AS w FROM fx)")
@@ -588,7 +588,7 @@ def _(spark, d):
     return detect.top_candidates(boxes(spark, d), 3).select("page_id", "box_id", "score")
 
 
-@query("topk_classes", "WITH e AS (SELECT vec_id, unnest(embedding) AS s, generate_subscripts(embedding, 1) - 1 AS c FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) AS place FROM e) SELECT vec_id, CAST(c AS INT) AS class_id, round(CAST(s AS DOUBLE), 5) AS score, CAST(place AS INT) AS place FROM r WHERE place <= 5")
+@query("topk_classes", "WITH e AS (SELECT vec_id, unnest(embedding) AS s, generate_subscripts(embedding, 1) - 1 AS c FROM embeddings), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, c) AS place FROM e) SELECT vec_id, CAST(c AS INT) AS class_id, round(CAST(s AS DOUBLE), 5) AS score, CAST(place AS BIGINT) AS place FROM r WHERE place <= 5")
 def _(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("scores"))
     return order.top_classes(rows, "scores", 5, "vec_id")
@@ -787,7 +787,7 @@ def _(spark, d):
     return boxes(spark, d).select("page_id", "box_id", F.round(G.normalise_score(F.col("score"), 0, 100, True), 6).alias("unit"))
 
 
-@query("score_ranges", "SELECT item_id, CAST(item_id AS DOUBLE) AS low, 100.0 AS high, TRUE AS low_approximate, FALSE AS high_approximate FROM benchmark")
+@query("score_ranges", "SELECT item_id, CAST(item_id AS DOUBLE) AS low, CAST(100 AS DOUBLE) AS high, TRUE AS low_approximate, FALSE AS high_approximate FROM benchmark")
 def _(spark, d):
     rng = G.parse_range(F.concat(F.lit("~"), F.col("item_id"), F.lit(", 100")))
     return table(spark, d, "benchmark").select("item_id", rng.alias("r")).select("item_id", "r.*")
