@@ -130,6 +130,11 @@ def corners(b: Column) -> Column:
     return F.array(b.x1, b.y1, b.x2, b.y1, b.x2, b.y2, b.x1, b.y2)
 
 
+def clamp_points(points: Column, page_width: int, page_height: int) -> Column:
+    """x, y, x, y, … cut to the page; nothing is dropped."""
+    return F.transform(points, lambda v, i: F.greatest(F.lit(0), F.when(i % 2 == 0, F.least(F.lit(page_width), v)).otherwise(F.least(F.lit(page_height), v))))
+
+
 def polygon_box(points: Column) -> Column:
     """Enclosing box of an array of (x, y) structs."""
     xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)

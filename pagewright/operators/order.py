@@ -25,6 +25,15 @@ ORDER_GROUPS = {
 }
 
 
+#: Colours that blocks are drawn in, by the group they are ordered with.
+COLOURS = {"image": "0,191,255", "table": "255,160,122", "formula": "147,112,219", "paragraph_title": "255,99,71", "doc_title": "255,69,0"}
+
+
+def colour(label: Column) -> Column:
+    known = F.create_map(*[F.lit(x) for kv in COLOURS.items() for x in kv])
+    return F.coalesce(known[label], F.lit("144,238,144"))
+
+
 def order_label(label: Column) -> Column:
     """The group a label is ordered with; normal_text for all labels not named."""
     out = F.lit("normal_text")

@@ -151,6 +151,26 @@ def _(spark, d):
     return boxes(spark, d).select("page_id", "box_id", a.start.alias("s"), a.end.alias("e"), a.long_side.alias("l"), a.short_side.alias("t"))
 
 
+@query(
+    "clamp_rotated",
+    f"{WITH} SELECT page_id, box_id, concat_ws(',', least(1500, x1), least(800, y1), least(1500, x2), least(800, y1), least(1500, x2), least(800, y2), least(1500, x1), least(800, y2)) AS corners FROM fx",
+)
+def _(spark, d):
+    cut = G.clamp_points(G.corners(G.box()), 1500, 800)
+    return boxes(spark, d).select("page_id", "box_id", F.array_join(F.transform(cut, lambda c: c.cast("string")), ",").alias("corners"))
+
+
+@query("rotate_points", f"{WITH} SELECT page_id, box_id, round(x1 * cos(radians(30)) - y1 * sin(radians(30)), 4) AS x, round(x1 * sin(radians(30)) + y1 * cos(radians(30)), 4) AS y FROM fx")
+def _(spark, d):
+    p = G.rotate_point(F.col("x1"), F.col("y1"), 30)
+    return boxes(spark, d).select("page_id", "box_id", F.round(p.x, 4).alias("x"), F.round(p.y, 4).alias("y"))
+
+
+@query("label_colours", f"{WITH} SELECT page_id, box_id, CASE label WHEN 'image' THEN '0,191,255' WHEN 'table' THEN '255,160,122' WHEN 'formula' THEN '147,112,219' WHEN 'paragraph_title' THEN '255,99,71' ELSE '144,238,144' END AS rgb FROM fx")
+def _(spark, d):
+    return boxes(spark, d).select("page_id", "box_id", order.colour(F.col("label")).alias("rgb"))
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 
@@ -401,7 +421,7 @@ def _(spark, d):
     return sequence.cell_rows(boxes(spark, d), 30)
 
 
-@query("row_offsets")
+@query("row_offsets", f"SELECT page_id, line, coalesce(CAST(sum(members) OVER (PARTITION BY page_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS first, members FROM (SELECT page_id, line, count(*) AS members FROM ({_fold_sql('abs(o.y1 - r.lo) <= 30', 'r.lo', 'r.hi')}) GROUP BY page_id, line)")
 def _(spark, d):
     return sequence.row_offsets(sequence.cell_rows(boxes(spark, d), 30))
 
@@ -470,13 +490,20 @@ def _(spark, d):
     return sequence.stitch_pages(rows, "conv_id")
 
 
+@query("word_boxes", f"{WITH} SELECT page_id, box_id, concat_ws(',', CAST(floor(x1) AS BIGINT), CAST(floor(x1 + 3 * ((x2 - x1) / 10.0)) AS BIGINT), CAST(floor(x1 + 4 * ((x2 - x1) / 10.0)) AS BIGINT), CAST(floor(x1 + 10 * ((x2 - x1) / 10.0)) AS BIGINT)) AS edges FROM fx")
+def _(spark, d):
+    word = lambda w, a, b: F.struct(F.lit(w).alias("word"), F.lit(a).alias("first"), F.lit(b).alias("last"))
+    rows = sequence.word_boxes(boxes(spark, d).withColumns({"col_num": F.lit(10), "words": F.array(word("one", 0, 2), word("other", 4, 9))}))
+    return rows.select("page_id", "box_id", F.array_join(F.flatten(F.transform("word_boxes", lambda w: F.array(w.x1.cast("string"), w.x2.cast("string")))), ",").alias("edges"))
+
+
 @query("word_runs")
 def _(spark, d):
     rows = table(spark, d, "documents").select("doc_id", text.word_runs(F.col("text")).alias("runs"))
     return rows.select("doc_id", F.size("runs").alias("n_runs"), F.size(F.filter("runs", lambda r: r.rlike("^[a-zA-Z0-9]"))).alias("n_words"))
 
 
-@query("rtl_reverse")
+@query("rtl_reverse", "SELECT item_id, array_to_string(list_reverse(regexp_extract_all(text, '([a-zA-Z0-9 :*./%+-]+|[^a-zA-Z0-9 :*./%+-])')), '') AS text FROM benchmark")
 def _(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.latin_runs_reversed(F.col("text")).alias("text"))
 
@@ -699,7 +726,7 @@ def _(spark, d):
     return chart.select("conv_id", text.chart_table(F.col("text")).alias("md"))
 
 
-@query("first_line_heading")
+@query("first_line_heading", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN chr(10) || '## Abstract' || chr(10) ELSE 'References' || chr(10) END || text AS text FROM documents")
 def _(spark, d):
     marked = F.concat(F.when(F.col("doc_id") % 2 == 0, "\nAbstract\n").otherwise("References\n"), F.col("text"))
     return table(spark, d, "documents").select("doc_id", text.first_line_heading(marked, ("abstract", "摘要")).alias("text"))
@@ -765,7 +792,14 @@ def _(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.tighten_latex(text.remove_cjk_text(F.concat(F.lit(r"\frac { a } { b } + \text{中文} "), F.col("text")))).alias("latex"))
 
 
-@query("line_join")
+_LAST = "right(acc, 1)"
+
+
+@query(
+    "line_join",
+    f"""SELECT doc_id, list_reduce(string_split(text, chr(10)), lambda acc, l: CASE WHEN acc = '' THEN l ELSE CASE WHEN {_LAST} = '-' THEN left(acc, length(acc) - 1) ELSE acc END
+      || CASE WHEN {_LAST} = '-' THEN '' WHEN doc_id % 2 = 1 THEN chr(10) WHEN regexp_matches({_LAST}, '[A-Za-z0-9,.;:]') THEN ' ' ELSE '' END || l END) AS text FROM documents""",
+)
 def _(spark, d):
     rows = table(spark, d, "documents")
     return rows.select("doc_id", text.join_lines(F.split("text", "\n"), F.when(F.col("doc_id") % 2 == 0, "text").otherwise("content")).alias("text"))
@@ -809,12 +843,12 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
-@query("json_export")
+@query("json_export", f"{WITH} SELECT page_id, CAST(to_json({{'page_index': page_id, 'parsing_res_list': list({{'block_label': label, 'block_content': label || ' ' || box_id, 'block_bbox': [x1, y1, x2, y2]}} ORDER BY box_id)}}) AS VARCHAR) AS json FROM fx GROUP BY page_id")
 def _(spark, d):
     return document.to_json(boxes(spark, d).withColumns({"block_content": F.concat("label", F.lit(" "), "box_id"), "order_index": F.col("box_id")}))
 
 
-@query("model_stub")
+@query("model_stub", f"{WITH} SELECT page_id, box_id, ['text', 'paragraph_title', 'image', 'table'][((x2 - x1) * 7 + (y2 - y1) * 3) % 4 + 1] AS label, CAST(((x2 - x1) * (y2 - y1)) % 101 AS DOUBLE) / 100 AS score FROM fx")
 def _(spark, d):
     return models.predict(boxes(spark, d).select("page_id", "box_id", *G.SIDES), models.StubDetector(), "page_id long, box_id long, label string, score double")
 
