@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import connected_components
-from pagewright.llm.shared import Words, mix, slices, slim, stash, text_bytes, unstash
+from pagewright.llm.shared import Words, mix, scratch, slices, slim, stash, text_bytes, unstash
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -273,23 +273,25 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float =
     one document: they get the same, least class.  A null doc_id has a null class.  Other
     columns are ignored; an empty table gives no rows.
     """
-    source = slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    registers = bands * rows
-    signed = stash(source.mapInArrow(lambda b: _sign(k, registers, b), _SIGNED), "signatures")
-    worded = signed.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
-    # one signature for each text; written, so that the joins with it deal out their rows anew and can split hot keys
-    texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")), "texts")
-    member = worded.select("doc_id", "k1", "k2").join(texts.select("k1", "k2", "id"), ["k1", "k2"]).select("doc_id", "id").distinct()
-    texts = texts.select("id", "signature")
-    components = components_by_signature(texts, source.withColumnRenamed("doc_id", "id"), bands, rows, k, similarity)
-    placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"))
-    own = F.coalesce("class_id", "doc_id")
-    return signed.select("doc_id").join(placed, "doc_id", "left").select("doc_id", own.alias("class_id"), (own == F.col("doc_id")).alias("is_kept"))
+    with scratch() as keep:
+        source = slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+        registers = bands * rows
+        signed = stash(source.mapInArrow(lambda b: _sign(k, registers, b), _SIGNED), "signatures")
+        worded = signed.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
+        # one signature for each text; written, so that the joins with it deal out their rows anew and can split hot keys
+        texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")), "texts")
+        member = worded.select("doc_id", "k1", "k2").join(texts.select("k1", "k2", "id"), ["k1", "k2"]).select("doc_id", "id").distinct()
+        texts = texts.select("id", "signature")
+        components = components_by_signature(texts, source.withColumnRenamed("doc_id", "id"), bands, rows, k, similarity)
+        placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"))
+        own = F.coalesce("class_id", "doc_id")
+        result = signed.select("doc_id").join(placed, "doc_id", "left").select("doc_id", own.alias("class_id"), (own == F.col("doc_id")).alias("is_kept"))
+        return keep(stash(result, "classes"))
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
     """Rows of ``documents`` (all columns), one of each class: the one with the least doc_id.  Rows without a doc_id stay."""
-    classes = stash(near_duplicates(documents, **options), "classes")
+    classes = near_duplicates(documents, **options)
     gone = classes.where("NOT is_kept").select(F.col("doc_id").alias("_gone")).distinct()
     few = gone.count() * 8 <= BROADCAST_BYTES
     kept = documents.join(F.broadcast(gone) if few else gone, documents["doc_id"] == F.col("_gone"), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.minhash import BROADCAST_BYTES, SHINGLE, SIMILARITY, components_by_signature, prob_minhash
-from pagewright.llm.shared import Words, slices, slim, stash, text_bytes
+from pagewright.llm.shared import Words, scratch, slices, slim, stash, text_bytes
 
 MIN_WORDS = 20
 RECALL = 0.999
@@ -113,10 +113,11 @@ def dedup_paragraphs(documents: DataFrame, count_column: str | None = None, **op
     doc_id and text are one document.  Existing columns of the four new names are replaced.
     ``count_column``, if given, is set to the code points of each changed text.
     """
-    removed = repeated_paragraphs(documents, **options).groupBy("doc_id", "row_hash").agg(
-        F.array_sort(F.collect_set("position")).alias("removed"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_in")
-    )
-    removed = stash(removed.toDF("_doc_id", "_row_hash", "_removed", "_kept_in"), "removals")
+    with scratch() as keep:
+        removed = repeated_paragraphs(documents, **options).groupBy("doc_id", "row_hash").agg(
+            F.array_sort(F.collect_set("position")).alias("removed"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_in")
+        )
+        removed = keep(stash(removed.toDF("_doc_id", "_row_hash", "_removed", "_kept_in"), "removals"))
     size = removed.agg(F.sum(48 + 4 * F.size("_removed") + 8 * F.size("_kept_in"))).first()[0] or 0
     joined = documents.join(F.broadcast(removed) if size <= BROADCAST_BYTES else removed, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_row_hash")), "left")
     lines = F.split("text", "\n", -1)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,32 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._pagewright_path = path
+    if _scopes:
+        _scopes[-1].append(back)
     return back
 
 
+_scopes: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stashed inside are deleted at the end, but for those given to the function it yields.
+
+    What leaves such a block must be a kept table or be computed already.
+    """
+    mine: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    _scopes.append(mine)
+    try:
+        yield lambda df: kept.append(df) or df
+    finally:
+        _scopes.pop()
+        unstash(*[t for t in mine if not any(t is k for k in kept)])
+        if _scopes:
+            _scopes[-1].extend(kept)
+
+
 def unstash(*tables: DataFrame) -> None:
     """Deletes stashed tables that no later plan reads."""
     for df in tables:
