@@ -48,7 +48,7 @@ def _trigrams(points: np.ndarray, buckets: int) -> np.ndarray:
     return (h >> np.uint32(8)) & np.uint32(buckets - 1)
 
 
-def _partition_counts(languages: list[str], buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _partition_counts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Trigram counts of a partition's labelled texts: (lang, bucket, n)."""
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -84,7 +84,7 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKET
         return LanguageModel([], np.zeros((buckets, 0), np.float32))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, train_docs / n)))])
     sample = rows.where((F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0) < share[F.col("lang")]).select("text", "lang")
-    counted = sample.mapInArrow(lambda b: _partition_counts(languages, buckets, b), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = sample.mapInArrow(lambda b: _partition_counts(buckets, b), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.full((buckets, len(languages)), alpha)
     got = counted.toPandas()  # at most buckets x languages rows
     counts[got["bucket"], got["lang"].map(languages.index)] += got["n"]
@@ -99,7 +99,6 @@ def _em(ll: np.ndarray, doc: np.ndarray, first: np.ndarray, allowed: np.ndarray,
     top = ll.max(1, keepdims=True)
     like = np.exp(ll - top)
     pi = allowed / allowed.sum(1, keepdims=True)
-    total = np.zeros(len(first))
     for _ in range(steps):
         joint = like * pi[doc]
         evidence = np.maximum(joint.sum(1, keepdims=True), 1e-300)
