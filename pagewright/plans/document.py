@@ -14,14 +14,14 @@ from pagewright.operators import detect, match, models, order
 PAGE = "page_id"
 
 #: Pipelines that can be made by name.
-PIPELINES = ("OCR", "PP-StructureV3", "table_recognition_v2", "doc_preprocessor", "formula_recognition", "image_classification", "seal_recognition", "flat_universal")
+PIPELINES = ("ocr", "document", "tables", "preprocessing", "formulas", "classification", "seals", "universal")
 
 
 @dataclass(frozen=True)
 class Options:
     """Settings of a parse.  None means the default, so that 0 and False can be asked for."""
 
-    pipeline: str = "PP-StructureV3"
+    pipeline: str = "document"
     same_iou: float = 0.6
     different_iou: float = 0.98
     overlap: float = 0.5
