@@ -31,7 +31,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all documents' tokens in training sequences."""
-    return packing.best_fit(stash(packing.token_lengths(docs), "lengths"))
+    return packing.best_fit(stash(packing.token_lengths(docs, release=True), "lengths"))
 
 
 STAGES = [

@@ -142,7 +142,7 @@ def best_fit(sized: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead:
     return rows.withColumn("_group", spread).groupBy("_group").applyInArrow(lambda t: _pack_group(capacities, overhead, span, t), _OUT)
 
 
-def _lengths(path: str | None, extra: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lengths(path: str | None, extra: int, release: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = Encoder.of(path or tokenizer_path(), REMEMBER)
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
@@ -153,9 +153,14 @@ def _lengths(path: str | None, extra: int, batches: Iterator[pa.RecordBatch]) ->
             counts += [len(ids) // 4 for ids in encoder.encode(texts)]
         full = np.asarray(counts, np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.where(full > 0, full + extra, 0))], names=["doc_id", "n_tokens"])
+    if release:
+        encoder.forget()
 
 
-def token_lengths(documents: DataFrame, path: str | None = None, extra: int = 1) -> DataFrame:
-    """(doc_id, n_tokens) of whole texts with the tokenizer at ``path``; ``extra`` for an end id.  Texts without tokens have 0."""
+def token_lengths(documents: DataFrame, path: str | None = None, extra: int = 1, release: bool = False) -> DataFrame:
+    """(doc_id, n_tokens) of whole texts with the tokenizer at ``path``; ``extra`` for an end id.  Texts without tokens have 0.
+
+    With ``release`` a worker forgets the words it has met at a task's end: slower, but it leaves memory to later stages.
+    """
     rows = slim(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(lambda b: _lengths(path, extra, b), "doc_id long, n_tokens long")
+    return rows.mapInArrow(lambda b: _lengths(path, extra, release, b), "doc_id long, n_tokens long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -127,6 +128,13 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         hi = min(max(hi, lo + 1), n)
         yield lo, hi
         lo = hi
+    give_back()
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system, where the C library can: workers live on between stages."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 # --- hashing ---------------------------------------------------------------------------------

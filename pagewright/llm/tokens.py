@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import slim, stash, text_bytes
+from pagewright.llm.shared import give_back, slim, stash, text_bytes
 
 BLOCK = 128
 PERCENTILE = 0.9
@@ -189,6 +189,12 @@ class Encoder(dict):
             cls._by_path[path] = cls(path, remember)
         return cls._by_path[path]
 
+    def forget(self) -> None:
+        """Gives up all words met."""
+        for store in (self, self.old, self.cores, self.tails):
+            store.clear()
+        give_back()
+
     def whole(self, text: bytes) -> bytes:
         """Ids by the tokenizer itself."""
         (encoding,) = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
