@@ -1,10 +1,11 @@
 """Near-duplicate documents by ProbMinHash, banding, verification and components.
 
-Every distinct k-word shingle of a document is an element of weight 1 + ln(count).  An
-element's Poisson process of that rate deals arrivals over the signature's registers; a
-register keeps its first arrival, and a process ends as soon as its next arrival is behind
-all registers of the document (early termination).  Two signatures agree in a register with
-the probability Jaccard of the weighted shingle sets.
+Every distinct k-word shingle of a document is an element of weight 1, however often it
+occurs.  An element's Poisson process of that rate deals arrivals over the signature's
+registers; a register keeps its first arrival, and a process ends as soon as its next arrival
+is behind all registers of the document (early termination).  Two signatures agree in a
+register with the probability Jaccard of the weighted sets, which at weight 1 is the Jaccard
+of the shingle sets: candidates are found and ruled out on the measure that decides.
 
 Documents of equal word sequence are one class from the start.  Each band bucket's members
 are compared with its leader; members that this doesn't connect meet all others of the
@@ -69,12 +70,12 @@ def prob_minhash(elements: np.ndarray, weights: np.ndarray, doc: np.ndarray, n_d
     return signature.reshape(n_docs, registers)
 
 
-def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(element, document, count) of the distinct k-word shingles of each document, sorted by document."""
+def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(element, document) of the distinct k-word shingles of each document, sorted by document."""
     hashes, first = words.shingles(k)
     doc = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
-    keys, counts = np.unique(doc << np.uint64(44) | hashes >> np.uint64(20), return_counts=True)
-    return mix(keys & _LOW44), (keys >> np.uint64(44)).astype(np.int64), counts
+    keys = np.unique(doc << np.uint64(44) | hashes >> np.uint64(20))
+    return mix(keys & _LOW44), (keys >> np.uint64(44)).astype(np.int64)
 
 
 _SIGNED = "doc_id long, k1 long, k2 long, signature binary"
@@ -85,8 +86,8 @@ def _sign(k: int, registers: int, batches: Iterator[pa.RecordBatch]) -> Iterator
         data, offsets = text_bytes(batch.column("text"))
         for lo, hi in slices(offsets):
             words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
-            elements, doc, counts = _sets(words, k)
-            signatures = prob_minhash(elements, 1 + np.log(counts), doc, hi - lo, registers)
+            elements, doc = _sets(words, k)
+            signatures = prob_minhash(elements, np.ones(len(elements)), doc, hi - lo, registers)
             k1, k2 = words.sequence_keys()
             empty = words.counts == 0
             yield pa.RecordBatch.from_arrays(

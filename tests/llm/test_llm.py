@@ -457,6 +457,21 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
+def test_near_duplicates_with_lines_that_repeat(spark):
+    rng = random.Random(17)
+    v = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    docs = []
+    for _ in range(40):
+        base, line = rng.choices(v, k=100), rng.choices(v, k=12)
+        docs += [base, base + line * rng.choice([20, 50, 200])]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    sets = {i: shingles(t) for i, t in docs}
+    want = union_find(sets, [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8])
+    assert all(want[i] == i - i % 2 for i in want)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()} == want
+
+
 def test_cells_hold_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(minhash, "CELL", 4)  # many blocks and chunks
     docs = near_copies(200, 8)
