@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagewright.llm import ann, components, decontaminate, html_text, langid, minhash, packing, paragraphs, queries, suffix_dedup, tokens, toxicity
+from pagewright.llm import ann, components, decontaminate, html_text, langid, minhash, packing, paragraphs, passages, queries, suffix_dedup, tokens, toxicity
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 DOC = "doc_id long, text string, lang string, source string, n_chars long, bucket int, h long, id string, component string, spans string"
@@ -596,6 +596,38 @@ def test_paragraphs_awkward(awkward, nothing):
     assert paragraphs.dedup_paragraphs(nothing).isEmpty()
 
 
+def long_repeats(texts, n=51):
+    """Documents that hold a run of n words of an earlier one."""
+    seen, out = set(), set()
+    for i, t in texts:
+        w = words(t)
+        here = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+        out |= {i} if here & seen else set()
+        seen |= here
+    return out
+
+
+def test_passages_go_wherever_lines_break(spark, tmp_path):
+    rng = random.Random(23)
+    v = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(2000)]
+    text = lambda n: " ".join(rng.choices(v, k=n))
+    p = text(60).split()
+    p, short, a, b, c, d = " ".join(p), " ".join(p[:50]), text(100), text(100), text(90), text(30)
+    broken = "\n".join(" ".join(p.split()[k : k + 10]) for k in range(0, 60, 10))
+    rows = [(1, p), (2, a + " " + p + " " + b), (3, c + "\n" + broken + "\n" + d), (4, text(80) + " " + short), (5, None), (6, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.queries()["op10_paragraph_dedup"](spark, str(tmp_path)).collect()}
+    assert {i: r.text for i, r in got.items()} == dict(rows) | {2: a + " " + b, 3: c + "\n" + d}
+    assert {i: (r.n_passages, r.passages_in) for i, r in got.items() if r.n_passages} == {2: (1, [1]), 3: (1, [1])}
+
+
+def test_no_long_repeat_is_left(spark, sf_dir, documents):
+    rows = queries.queries()["op10_paragraph_dedup"](spark, sf_dir).collect()
+    lines = {r.doc_id: r.text for r in paragraphs.dedup_paragraphs(documents).collect()}
+    assert len(rows) == len(lines) and long_repeats(sorted((r.doc_id, r.text) for r in rows)) == set()
+    assert {r.doc_id for r in rows if r.text != lines[r.doc_id]} == long_repeats(sorted(lines.items()))
+
+
 def test_tuned_bands():
     bands, rows = paragraphs.tune_bands()
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 and 1 - (1 - 0.2**rows) ** bands <= 0.1
