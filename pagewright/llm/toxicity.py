@@ -2,9 +2,9 @@
 
 Labelled examples are TF-IDF vectors over a vocabulary of words and word beginnings that
 go with the label (chi-square), plus one term for all other words, so that a lone accidental
-hit in a long text stays near the clean examples.  A block-max inverted index holds, for
-every term and block of examples, the largest weight; blocks are visited by falling upper
-bound until no block can change the k best, which makes the cosines exact.  Votes weighted
+hit in a long text stays near the clean examples.  A block-max index (dense vectors, no
+postings) holds, for every term and block of examples, the largest weight; blocks are visited by falling upper
+bound until no block can change the k best, which makes the cosines over that vocabulary exact.  Votes weighted
 by distance are calibrated by isotonic regression on leave-one-out votes of the examples.
 
 Bounded by parameters: examples (``TOXIC_EXAMPLES``, ``CLEAN_EXAMPLES``, in expectation) and
