@@ -3,8 +3,9 @@
 Every Arrow batch slice of training documents is a shard.  A shard's word-suffix array
 holds the suffixes that can begin a benchmark window (their words all occur in the
 benchmark), sorted to the window depth; every benchmark suffix is then binary-searched in
-it, which yields its verbatim matches and their locations.  Matches that overlap or touch
-form the longest verbatim runs.  No training row is shuffled.
+it, which yields its window matches and their locations in the training text.  Windows that
+overlap or touch, also of different items, are united into runs; a run need not be verbatim in
+any item, and places in items are not returned.  No training row is shuffled.
 
 The benchmark is broadcast in blocks of a checked size (``block_bytes``): a larger one is
 searched block after block and the runs found by each are merged.
@@ -167,7 +168,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 16 << 20) -> DataFrame:
-    """Verbatim benchmark runs of every row of ``documents``.
+    """Runs of verbatim benchmark windows of every row of ``documents``.
 
     Returns (doc_id, n_words, runs, items): ``runs`` are maximal ranges [s, e) of word
     positions covered by benchmark windows, ``items`` the ids (as strings, sorted) whose
