@@ -15,7 +15,7 @@ could belong to similar texts are verified by the exact Jaccard of their shingle
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm.components import connected_components
-from pagewright.llm.shared import Words, mix, scratch, slices, slim, stash, text_bytes, unstash
+from pagewright.llm.shared import BROADCAST_BYTES, Words, document_key, fresh, mix, scratch, slices, slim, stash, text_bytes, unstash
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -32,10 +32,11 @@ BANDS = 32
 ROWS = 6
 #: Standard errors below the similarity at which a signature estimate rules a pair out.
 DOUBT = 4.0
-#: Members of a block, and probes of a chunk, in expectation.
+#: Members of a block, and probes of a chunk, in expectation, and the bytes of their texts.
 CELL = 1_024
-#: Bytes of ids or removals that may be broadcast; more are joined by a shuffle.
-BROADCAST_BYTES = 16 << 20
+CELL_BYTES = 8 << 20
+#: Bytes of the cells that one task compares, in expectation (a larger cell is compared alone).
+PART_BYTES = 32 << 20
 
 _LOW44 = np.uint64((1 << 44) - 1)
 
@@ -78,7 +79,7 @@ def _sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(keys & _LOW44), (keys >> np.uint64(44)).astype(np.int64)
 
 
-_SIGNED = "doc_id long, k1 long, k2 long, signature binary"
+_SIGNED = "doc_id long, row_hash long, k1 long, k2 long, size long, signature binary"
 
 
 def _sign(k: int, registers: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,11 +94,13 @@ def _sign(k: int, registers: int, batches: Iterator[pa.RecordBatch]) -> Iterator
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, hi - lo),
+                    batch.column("row_hash").slice(lo, hi - lo),
                     pa.array(k1.view(np.int64), mask=empty),
                     pa.array(k2.view(np.int64), mask=empty),
+                    pa.array(np.diff(offsets[lo : hi + 1])),
                     pa.array([None if e else s.tobytes() for e, s in zip(empty, signatures, strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "k1", "k2", "signature"],
+                names=["doc_id", "row_hash", "k1", "k2", "size", "signature"],
             )
 
 
@@ -228,12 +231,13 @@ def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
 def components_by_signature(signed: DataFrame, texts: DataFrame, bands: int, rows: int, k: int, similarity: float) -> DataFrame:
     """(node, component) of ids linked, directly or through others, by similar texts that share a bucket.
 
-    signed: (id, signature), texts: (id, text).
+    signed: (id, signature, size), texts: (id, text); ``size`` are the bytes of the text.
 
     First each bucket's members are compared with its leader, which connects groups of like
     texts at one comparison a member.  Then the members that are still apart from their leader
     meet all members of their bucket in cells of bounded size (a block of members and a chunk
     of such probes), where signatures rule out most pairs and the texts decide the others.
+    The number of tasks that compare cells follows from the cells' bytes.
     """
     spark = signed.sparkSession
     least = max(0.0, similarity - DOUBT * (similarity * (1 - similarity) / (bands * rows)) ** 0.5)
@@ -250,14 +254,20 @@ def components_by_signature(signed: DataFrame, texts: DataFrame, bands: int, row
     members = everyone.join(component.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component"))
     members = members.join(component.toDF("leader", "leader_component"), "leader", "left").select("bucket", "id", "component", (F.col("component") != F.coalesce("leader_component", "leader")).alias("apart"))
     members = stash(members, "members")
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("apart").cast("long")).alias("r")).where("r > 0")
-    sized = stash(members.join(sizes.select("bucket", F.ceil(F.col("n") / CELL).alias("blocks"), F.ceil(F.col("r") / CELL).alias("chunks")), "bucket"), "sized")
+    weighed = members.join(signed.select("id", "size"), "id")
+    probes = F.col("apart").cast("long")
+    sizes = weighed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.sum(probes).alias("r"), F.sum(probes * F.col("size")).alias("probe_bytes")).where("r > 0")
+    cut = lambda n, size: F.greatest(F.ceil(F.col(n) / CELL), F.ceil(F.col(size) / CELL_BYTES))
+    sized = stash(weighed.join(sizes.select("bucket", cut("n", "bytes").alias("blocks"), cut("r", "probe_bytes").alias("chunks")), "bucket"), "sized")
+    # bytes of a row besides its text: signature and numbers
+    moved = F.col("size") + 2 * bands * rows + 64
+    total = sized.agg(F.sum(moved * (F.col("chunks") + F.when(F.col("apart"), F.col("blocks")).otherwise(0)))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // PART_BYTES))
     up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     in_block = sized.select("bucket", F.pmod(F.xxhash64("id"), "blocks").alias("block"), up_to("chunks").alias("chunk"), "id", "component", F.lit(False).alias("probe"))
     as_probe = sized.where("apart").select("bucket", up_to("blocks").alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), "chunks").alias("chunk"), "id", "component", F.lit(True).alias("probe"))
     wanted = _only(texts, sized.select("id").distinct())
     cells = in_block.unionByName(as_probe).join(signed.select("id", "signature").join(wanted, "id"), "id")
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = F.pmod(F.xxhash64("bucket", "block", "chunk"), F.lit(parts))
     met = cells.withColumn("part", part).groupBy("part").applyInArrow(lambda t: _compare(bands, rows, least, k, similarity, t), "a long, b long")
     more = stash(met, "links")
@@ -265,39 +275,68 @@ def components_by_signature(signed: DataFrame, texts: DataFrame, bands: int, row
     return connected_components(links.union(more))
 
 
-def near_duplicates(documents: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id, is_kept) of every row: documents linked by similarity have the same class.
-
-    ``class_id`` is the least doc_id of the class, ``is_kept`` marks that document.  Words are those of
-    lower-cased text; a text of fewer words than ``k`` is one shingle.  Null, empty and
-    wordless texts are alone in their class.  Rows that repeat a doc_id count as copies of
-    one document: they get the same, least class.  A null doc_id has a null class.  Other
-    columns are ignored; an empty table gives no rows.
-    """
+def _classes(documents: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, row_hash, class_id, is_kept) of every row; rows equal in doc_id and text are one document."""
     with scratch() as keep:
-        source = slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+        source = slim(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_hash"), "text")
         registers = bands * rows
         signed = stash(source.mapInArrow(lambda b: _sign(k, registers, b), _SIGNED), "signatures")
         worded = signed.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
+        # a document's id is its doc_id; where different texts share one, a hash of both
+        shared = stash(worded.groupBy("doc_id").agg(F.min("row_hash").alias("least"), F.max("row_hash").alias("most")).where("least <> most").select("doc_id"), "shared-ids")
+        n_shared = shared.count()
+
+        def named(rows: DataFrame) -> DataFrame:
+            if not n_shared:
+                return rows.withColumn("id", F.col("doc_id"))
+            marks = shared.withColumn("twice", F.lit(True))
+            marked = rows.join(F.broadcast(marks) if n_shared * 8 <= BROADCAST_BYTES else marks, "doc_id", "left")
+            return marked.withColumn("id", F.when(F.col("twice"), document_key(F.col("doc_id"), F.col("row_hash"))).otherwise(F.col("doc_id"))).drop("twice")
+
         # one signature for each text; written, so that the joins with it deal out their rows anew and can split hot keys
-        texts = stash(worded.groupBy("k1", "k2").agg(F.min_by("signature", "doc_id").alias("signature"), F.min("doc_id").alias("id")), "texts")
-        member = worded.select("doc_id", "k1", "k2").join(texts.select("k1", "k2", "id"), ["k1", "k2"]).select("doc_id", "id").distinct()
-        texts = texts.select("id", "signature")
-        components = components_by_signature(texts, source.withColumnRenamed("doc_id", "id"), bands, rows, k, similarity)
-        placed = member.join(components.withColumnRenamed("node", "id"), "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("class_id"))
-        own = F.coalesce("class_id", "doc_id")
-        result = signed.select("doc_id").join(placed, "doc_id", "left").select("doc_id", own.alias("class_id"), (own == F.col("doc_id")).alias("is_kept"))
-        return keep(stash(result, "classes"))
+        first = F.struct("doc_id", "row_hash")
+        texts = stash(named(worded).groupBy("k1", "k2").agg(F.min_by("signature", first).alias("signature"), F.min_by("id", first).alias("id"), F.min_by("size", first).alias("size"), F.min(first).alias("first")), "texts")
+        components = components_by_signature(texts.select("id", "signature", "size"), named(source).select("id", "text"), bands, rows, k, similarity)
+        placed = stash(texts.select("k1", "k2", "id", "first").join(components.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
+        kept = placed.groupBy("component").agg(F.min("first").alias("kept"))
+        placed = stash(placed.join(kept, "component").select("k1", "k2", "kept"), "kept")
+        both = signed.select("doc_id", "row_hash", F.when(F.col("doc_id").isNotNull(), F.col("k1")).alias("k1"), "k2").join(placed, ["k1", "k2"], "left")
+        stays = F.col("kept").isNull() | ((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("row_hash") == F.col("kept.row_hash")))
+        return keep(stash(both.select("doc_id", "row_hash", F.coalesce("kept.doc_id", "doc_id").alias("class_id"), F.when(F.col("doc_id").isNotNull(), stays).alias("is_kept")), "classes"))
+
+
+def near_duplicates(documents: DataFrame, **options) -> DataFrame:
+    """(doc_id, class_id, is_kept) of every row: documents linked by similarity have the same class.
+
+    ``class_id`` is the least doc_id of the class, ``is_kept`` marks that document.  Words are those of
+    lower-cased text; a text of fewer words than ``k`` is one shingle.  Null, empty and
+    wordless texts are alone in their class.  Rows equal in doc_id and text are one document;
+    rows that only share a doc_id are different ones, of which the one with the least text
+    hash is the first.  A null doc_id has a null class and is linked with nothing.  Very long
+    texts are compared whole.  Other columns are ignored; an empty table gives no rows.
+    """
+    return _classes(documents, **options).drop("row_hash")
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """Rows of ``documents`` (all columns), one of each class: the one with the least doc_id.  Rows without a doc_id stay."""
-    classes = near_duplicates(documents, **options)
-    gone = classes.where("NOT is_kept").select(F.col("doc_id").alias("_gone")).distinct()
-    few = gone.count() * 8 <= BROADCAST_BYTES
-    kept = documents.join(F.broadcast(gone) if few else gone, documents["doc_id"] == F.col("_gone"), "left_anti")
-    twice = classes.where("is_kept").groupBy("doc_id").count().where("count > 1")
-    if twice.isEmpty():
-        return kept
-    # rows that repeat an id: one of each stays
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    """Rows of ``documents`` (all columns), one of each class: the first document of the class.
+
+    Of rows equal in doc_id and text one stays, whichever; rows that only share a doc_id are
+    different documents and go only if their text's class has an earlier one.  Null, empty
+    and wordless texts stay, and so do rows without a doc_id.  Columns of any name pass through.
+    """
+    classes = _classes(documents, **options)
+    name, key = fresh(documents, "gone", "row_key")
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+
+    def among(table: DataFrame, how: str) -> Callable[[DataFrame], DataFrame]:
+        other = f"{key}_"
+        table = table.select(F.col("doc_id").alias(name), F.col("row_hash").alias(other)).distinct()
+        table = F.broadcast(table) if table.count() * 16 <= BROADCAST_BYTES else table
+        return lambda rows: rows.join(table, (F.col("doc_id").cast("long") == F.col(name)) & (F.col(key) == F.col(other)), how)
+
+    kept = among(classes.where("NOT is_kept"), "left_anti")(keyed)
+    twice = stash(classes.where("is_kept").groupBy("doc_id", "row_hash").count().where("count > 1"), "repeated-rows")
+    if not twice.isEmpty():
+        kept = among(twice, "left_anti")(kept).unionByName(among(twice, "left_semi")(kept).dropDuplicates(["doc_id", key]))
+    return kept.drop(key)

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch (a larger row is a batch of its own).
 BATCH_BYTES = 16 << 20
+#: Bytes of ids or removals that may be broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 # --- storage ---------------------------------------------------------------------------------
@@ -84,6 +86,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each changed until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def document_key(doc_id: Column, text_hash: Column) -> Column:
+    """A 64-bit key of a document; with the doc_id, which it includes, it tells documents apart."""
+    return F.xxhash64(doc_id, text_hash)
+
+
 def crc_mod3(doc_id: Column | str) -> Column:
     """crc32 of the id as text, modulo 3: the fold of a document."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 3
