@@ -3,9 +3,11 @@
 Every Arrow batch slice of training documents is a shard.  A shard's word-suffix array
 holds the suffixes that can begin a benchmark window (their words all occur in the
 benchmark), sorted to the window depth; every benchmark suffix is then binary-searched in
-it, which yields its window matches and their locations in the training text.  Windows that
-overlap or touch, also of different items, are united into runs; a run need not be verbatim in
-any item, and places in items are not returned.  No training row is shuffled.
+it, which yields its window matches and their locations in the training text.  Matches of
+consecutive windows of one item are joined to the longest verbatim matches, with their places
+in item and document (a window that an item repeats counts at its first place in it).  Windows
+that overlap or touch, also of different items, are united into runs, which need not be
+verbatim in any item.  No training row is shuffled.
 
 The benchmark is broadcast in blocks of a checked size (``block_bytes``): a larger one is
 searched block after block and the runs found by each are merged.
@@ -13,6 +15,7 @@ searched block after block and the runs found by each are merged.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,48 +23,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import Words, slices, slim, small_batches, stash, text_bytes
+from pagewright.llm.shared import Words, fresh, scratch, slices, slim, small_batches, stash, text_bytes
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
 #: A document is contaminated when hit words are at least one in SHARE of its words.
 SHARE = 20
 
-_RUNS = "doc_id long, n_words long, runs array<struct<s:int,e:int>>, items array<string>"
+#: Bytes of benchmark text that are broadcast at once, as arrays of about ten times the size.
+BLOCK_BYTES = 8 << 20
+
+_RUNS = "doc_id long, n_words long, runs array<struct<s:int,e:int>>, items array<string>, matches array<struct<item:string,item_start:int,start:int,words:int>>"
+_RUN = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+_MATCH = pa.list_(pa.struct([("item", pa.string()), ("item_start", pa.int32()), ("start", pa.int32()), ("words", pa.int32())]))
 
 
 class BenchmarkIndex:
-    """Windows of a block of benchmark items, as rows of ids of the block's own vocabulary."""
+    """Windows of a block of benchmark items, as rows of ids of the block's own vocabulary.
+
+    All of it is arrays: about 60 bytes a word of the block, which ``BLOCK_BYTES`` bounds.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        texts = pa.array([t or "" for _, t in items], pa.large_string())
-        words = Words(*text_bytes(texts))
-        self.window = window
+        words = Words(*text_bytes(pa.array([t or "" for _, t in items], pa.large_string())))
+        self.window, self.names = window, [item for item, _ in items]
         self.vocabulary, ids = np.unique(words.hashes, return_inverse=True)
-        ids = ids + 1
-        rows, owners = [], []
-        for k, (item, _) in enumerate(items):
-            own = ids[words.first[k] : words.first[k + 1]]
-            for at in range(max(1, len(own) - window + 1) if len(own) else 0):
-                row = np.zeros(window, ">i4")
-                row[: min(window, len(own) - at)] = own[at : at + window]
-                rows.append(row.tobytes())
-                owners.append(item)
-        #: distinct windows in byte order, the words of each, and the items that hold it
-        order = sorted(set(rows))
-        place = {r: i for i, r in enumerate(order)}
-        self.items: list[set[str]] = [set() for _ in order]
-        for r, item in zip(rows, owners, strict=True):
-            self.items[place[r]].add(item)
-        matrix = np.frombuffer(b"".join(order), ">i4").reshape(-1, window)
-        self.lengths = (matrix > 0).sum(1)
-        top = matrix.copy()
-        top[matrix == 0] = -1  # 0xFFFFFFFF sorts behind every id: the end of a short window's range
-        self.low = _keys(matrix)
-        self.high = _keys(top)
+        counts = np.where(words.counts >= window, words.counts - window + 1, np.minimum(words.counts, 1))
+        owner = np.repeat(np.arange(len(items)), counts)
+        place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        columns = (words.first[:-1][owner] + place)[:, None] + np.arange(window)
+        inside = columns < words.first[1:][owner][:, None]
+        matrix = np.where(inside, (ids + 1)[np.minimum(columns, max(0, len(ids) - 1))] if len(ids) else 0, 0)
+        keys = _keys(matrix)
+        order = np.lexsort((place, owner, keys)) if len(keys) else np.zeros(0, np.int64)
+        keys, owner, place = keys[order], owner[order], place[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        #: distinct windows in byte order, and the words of each
+        self.low = keys[new]
+        self.lengths = inside[order][new].sum(1)
+        # the first place of a window in each item that holds it: rows first[w] .. first[w + 1]
+        once = new.copy()
+        once[1:] |= owner[1:] != owner[:-1]
+        self.owner, self.place = owner[once].astype(np.int32), place[once].astype(np.int32)
+        self.first = np.append(np.flatnonzero(new[once]), once.sum())
+
+    @functools.cached_property
+    def high(self) -> np.ndarray:
+        """The end of each window's range of suffixes: a short window's free places sort behind every id."""
+        top = self.low.view(">i4").reshape(-1, self.window).copy() if len(self.low) else np.zeros((0, self.window), ">i4")
+        top[np.arange(self.window) >= self.lengths[:, None]] = -1
+        return _keys(top)
+
+    def owners(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``windows``, item, place in the item) of every item that holds a window."""
+        n = self.first[windows + 1] - self.first[windows]
+        row = np.repeat(np.arange(len(windows)), n)
+        at = self.first[windows][row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        return row, self.owner[at], self.place[at]
 
     def __len__(self) -> int:
-        return len(self.items)
+        return len(self.low)
 
 
 def _keys(matrix: np.ndarray) -> np.ndarray:
@@ -116,6 +138,28 @@ def _hits(words: Words, index: BenchmarkIndex) -> tuple[np.ndarray, np.ndarray,
     return np.cumsum(cover[:-1]) > 0, which, at
 
 
+def _longest(words: Words, index: BenchmarkIndex, which: np.ndarray, at: np.ndarray, n_docs: int) -> tuple[list[list], list[list]]:
+    """Longest verbatim matches, and the names of hit items, of each document of a shard."""
+    doc_of = np.repeat(np.arange(n_docs), words.counts)
+    row, item, place = index.owners(which)
+    at, length = at[row], index.lengths[which[row]]
+    doc = doc_of[at]
+    order = np.lexsort((at, at - place, item, doc))
+    doc, item, place, at, length = doc[order], item[order], place[order], at[order], length[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] != at[:-1] + 1) | (place[1:] != place[:-1] + 1)
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(at)) - 1
+    matches: list[list] = [[] for _ in range(n_docs)]
+    for b, e in zip(begin.tolist(), last.tolist(), strict=True):
+        d = int(doc[b])
+        matches[d].append({"item": index.names[item[b]], "item_start": int(place[b]), "start": int(at[b] - words.first[d]), "words": int(at[e] + length[e] - at[b])})
+    items: list[list] = [[] for _ in range(n_docs)]
+    for d, i in np.unique(np.stack([doc, item]), axis=1).T.tolist():
+        items[d].append(index.names[i])
+    return matches, [sorted(set(i)) for i in items]
+
+
 def _shard_runs(index: BenchmarkIndex, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
@@ -123,7 +167,8 @@ def _shard_runs(index: BenchmarkIndex, batches: Iterator[pa.RecordBatch]) -> Ite
             words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
             hit, which, at = _hits(words, index)
             runs: list[list] = [[] for _ in range(hi - lo)]
-            items: list[set] = [set() for _ in range(hi - lo)]
+            items: list[list] = [[] for _ in range(hi - lo)]
+            matches: list[list] = [[] for _ in range(hi - lo)]
             if len(which):
                 doc_of = np.repeat(np.arange(hi - lo), words.counts)
                 edge = np.diff(hit.astype(np.int8), prepend=np.int8(0)) > 0
@@ -134,16 +179,16 @@ def _shard_runs(index: BenchmarkIndex, batches: Iterator[pa.RecordBatch]) -> Ite
                 for s, e in zip(begins, np.flatnonzero(hit & last) + 1, strict=True):
                     d = doc_of[s]
                     runs[d].append({"s": int(s - words.first[d]), "e": int(e - words.first[d])})
-                for d, w in np.unique(np.stack([doc_of[at], which]), axis=1).T:
-                    items[d] |= index.items[w]
+                matches, items = _longest(words, index, which, at, hi - lo)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(lo, hi - lo),
                     pa.array(words.counts, pa.int64()),
-                    pa.array(runs, pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
-                    pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                    pa.array(runs, _RUN),
+                    pa.array(items, pa.list_(pa.string())),
+                    pa.array(matches, _MATCH),
                 ],
-                names=["doc_id", "n_words", "runs", "items"],
+                names=["doc_id", "n_words", "runs", "items", "matches"],
             )
 
 
@@ -167,12 +212,13 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     return bench, max(1, -(-int(total) // block_bytes))
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 16 << 20) -> DataFrame:
+def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Runs of verbatim benchmark windows of every row of ``documents``.
 
-    Returns (doc_id, n_words, runs, items): ``runs`` are maximal ranges [s, e) of word
-    positions covered by benchmark windows, ``items`` the ids (as strings, sorted) whose
-    windows occur.  A null or empty text has no words and no runs; a null item is no
+    Returns (doc_id, n_words, runs, items, matches): ``runs`` are maximal ranges [s, e) of
+    word positions covered by benchmark windows, ``items`` the ids (as strings, sorted) whose
+    windows occur, ``matches`` the longest verbatim ones: item, its first word there, first
+    word in the document, words.  A null or empty text has no words and no runs; a null item is no
     window; repeated rows are each reported; an empty benchmark hits nothing; other
     columns are ignored.
     """
@@ -180,23 +226,32 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     bench, blocks = _blocks(benchmark, block_bytes)
     if blocks == 1:
         return _search(docs, [tuple(r) for r in bench.collect()], window)
-    # a larger benchmark: block after block, each found run kept by row, then merged
-    keyed = stash(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
-    rows = keyed.select(F.col("row").alias("doc_id"), "text")
-    found = None
-    for k in range(blocks):
-        items = [tuple(r) for r in bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()]
-        part = _search(rows, items, window)
-        found = part if found is None else found.unionByName(part)
+    # a larger benchmark: block after block, one broadcast at a time, each result written, then merged by row
+    with scratch() as keep:
+        keyed = keep(stash(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows"))
+        rows = keyed.select(F.col("row").alias("doc_id"), "text")
+        found = None
+        for k in range(blocks):
+            items = [tuple(r) for r in bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()]
+            if items:
+                part = keep(stash(_search(rows, items, window).where("size(runs) > 0"), "decontaminate-block"))
+                found = part if found is None else found.unionByName(part)
+    counts = _search(rows, [], window)
+    if found is None:
+        found = counts.limit(0)
     merged = found.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+        F.array_sort(F.flatten(F.collect_list("runs"))).alias("runs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("matches")).alias("matches"),
     )
     union = F.expr(
         "aggregate(runs, cast(array() as array<struct<s:int,e:int>>), (acc, r) -> if(size(acc) > 0 and r.s <= element_at(acc, -1).e,"
         " concat(slice(acc, 1, size(acc) - 1), array(named_struct('s', element_at(acc, -1).s, 'e', greatest(element_at(acc, -1).e, r.e)))), concat(acc, array(r))))"
     )
-    merged = merged.select(F.col("doc_id").alias("row"), "n_words", union.alias("runs"), "items")
-    return keyed.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "runs", "items")
+    merged = merged.select(F.col("doc_id").alias("row"), union.alias("runs"), "items", "matches")
+    all_rows = keyed.select("row", F.col("doc_id").alias("id")).join(counts.select(F.col("doc_id").alias("row"), "n_words"), "row").join(merged, "row", "left")
+    none = {c: F.coalesce(c, F.array().cast(kind)).alias(c) for c, kind in (f.split(" ", 1) for f in _RUNS.split(", ")[2:])}
+    return all_rows.select(F.col("id").alias("doc_id"), "n_words", *none.values())
 
 
 def _search(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
@@ -204,8 +259,8 @@ def _search(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
     return docs.mapInArrow(lambda batches: _shard_runs(index.value, batches), _RUNS)
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = 16 << 20) -> DataFrame:
-    """Digest per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, runs."""
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Digest per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, runs, matches.  Rows as for ``find_contamination``."""
     n_hit = F.aggregate("runs", F.lit(0).cast("long"), lambda acc, r: acc + r.e - r.s)
     return find_contamination(documents, benchmark, window, block_bytes).select(
         "doc_id",
@@ -215,18 +270,24 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
         "runs",
+        "matches",
     )
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = 16 << 20) -> DataFrame:
-    """Rows of ``documents`` (all columns) that are not contaminated.  Null ids and texts stay."""
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Rows of ``documents`` (all columns, of any name) that are not contaminated.
+
+    Null, empty and wordless texts stay, and so do null ids; repeated rows are each judged;
+    very long texts are searched whole; an empty benchmark removes nothing.
+    """
     bench, blocks = _blocks(benchmark, block_bytes)
     if blocks == 1:
         index = documents.sparkSession.sparkContext.broadcast(BenchmarkIndex([tuple(r) for r in bench.collect()], window))
         return small_batches(documents).mapInArrow(lambda b: _clean(index.value, share, b), documents.schema)
-    marked = stash(documents.withColumn("_row", F.monotonically_increasing_id()), "decontaminate-input")
-    bad = contamination(marked.select(F.col("_row").alias("doc_id"), "text"), benchmark, window, share, block_bytes).where("contaminated")
-    return marked.join(bad.select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")
+    (row,) = fresh(documents, "row")
+    marked = stash(documents.withColumn(row, F.monotonically_increasing_id()), "decontaminate-input")
+    bad = contamination(marked.select(F.col(row).alias("doc_id"), "text"), benchmark, window, share, block_bytes).where("contaminated")
+    return marked.join(bad.select(F.col("doc_id").alias(row)), row, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
 ORACLE = r"""
