@@ -184,6 +184,9 @@ def _score(model: LanguageModel, run: int, penalty: float, batches: Iterator[pa.
 
 
 def _accept(model: LanguageModel, run: int, penalty: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if not len(model.languages):
+        yield from batches
+        return
     for batch in batches:
         preds = pa.array(_predict(model, run, penalty, batch.column("text"))[0], pa.string())
         if "lang" in batch.schema.names:
@@ -195,7 +198,9 @@ def _accept(model: LanguageModel, run: int, penalty: float, batches: Iterator[pa
 def accepted(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty: float = 2.0) -> DataFrame:
     """Rows of ``documents`` (all columns) whose language is determined; a null ``lang`` is filled in.  No shuffle.
 
-    Where the model knows no language, all rows go.
+    Null, empty and letterless texts go, however long; repeated rows are each judged; ties go
+    to the alphabetically first language.  Where the model knows no language nothing is rejected:
+    all rows pass as they are.  Columns of any name pass through; an empty table gives none.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
     return small_batches(documents).mapInArrow(lambda b: _accept(sent.value, run, penalty, b), documents.schema)
