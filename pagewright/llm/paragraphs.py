@@ -1,10 +1,15 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are the lines of a text.  Those of ``MIN_WORDS`` words or more are hashed into
+Paragraphs are compared on two levels.  Lines of ``MIN_WORDS`` words or more are hashed into
 bands tuned for high recall; equal ones collapse to one before any pairing, colliding ones
 are joined and verified by the exact Jaccard of their word shingles, and the verified links'
-components are the groups of repeats.  Of each group the first paragraph (least doc_id, then
+components are the groups of repeats.  Of each group the first line (least doc_id, then
 position) stays, all others are removed.
+
+Below the line, and across line breaks, every run of ``WINDOW`` words is a paragraph too
+(see :mod:`pagewright.llm.passages`): one MinHash register bands them, equality verifies
+them, and the words they cover go from all documents but the first.  Lines of fewer than
+``MIN_WORDS`` words are only removed as part of such a run.
 """
 
 from __future__ import annotations
@@ -16,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.minhash import BROADCAST_BYTES, SHINGLE, SIMILARITY, components_by_signature, prob_minhash
-from pagewright.llm.shared import Words, scratch, slices, slim, stash, text_bytes
+from pagewright.llm.minhash import SHINGLE, SIMILARITY, components_by_signature, prob_minhash
+from pagewright.llm.passages import WINDOW, cut, repeated_windows
+from pagewright.llm.shared import BROADCAST_BYTES, Words, document_key, fresh, scratch, slices, slim, stash, text_bytes
 
 MIN_WORDS = 20
 RECALL = 0.999
@@ -35,7 +41,7 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, unlike: f
     raise ValueError("no banding has that recall and that share of false candidates")
 
 
-_PARTS = "doc_id long, row_hash long, position int, k1 long, k2 long, signature binary, text string"
+_PARTS = "doc_id long, row_hash long, position int, k1 long, k2 long, size long, signature binary, text string"
 
 
 def _paragraphs(k: int, min_words: int, registers: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,10 +77,11 @@ def _paragraphs(k: int, min_words: int, registers: int, batches: Iterator[pa.Rec
                     pa.array(position, pa.int32()),
                     pa.array(k1[keep].view(np.int64)),
                     pa.array(k2[keep].view(np.int64)),
+                    pa.array(end - begin),
                     pa.array([row.tobytes() for row in signature], pa.binary()),
                     pa.array(texts, pa.binary()).cast(pa.string()),
                 ],
-                names=["doc_id", "row_hash", "position", "k1", "k2", "signature", "text"],
+                names=["doc_id", "row_hash", "position", "k1", "k2", "size", "signature", "text"],
             )
 
 
@@ -92,7 +99,7 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     same = parts.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
     firsts = stash(same.select("id", "n", "k1", "k2"), "distinct-paragraphs")
     texts = parts.select("id", "text")
-    signed = parts.select("id", "signature").join(firsts.select("id"), "id", "left_semi")
+    signed = parts.select("id", "signature", "size").join(firsts.select("id"), "id", "left_semi")
     components = components_by_signature(stash(signed, "signed"), texts, bands, rows, k, similarity)
     # written, as below, so that the joins with them deal out their rows anew and can split hot keys
     grouped = stash(firsts.join(components.withColumnRenamed("node", "id"), "id", "left").where("component IS NOT NULL OR n > 1").select("k1", "k2", F.coalesce("component", "id").alias("component")), "grouped")
@@ -104,34 +111,71 @@ def repeated_paragraphs(documents: DataFrame, min_words: int = MIN_WORDS, k: int
     return removed.select("doc_id", "row_hash", "position", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.position").alias("kept_position"))
 
 
-def dedup_paragraphs(documents: DataFrame, count_column: str | None = None, **options) -> DataFrame:
-    """All columns of ``documents`` with repeats removed from ``text``, and n_paragraphs, n_removed, removed, kept_in.
+_CUT = "struct<text:string,words:long,spans:long>"
+
+
+def _cutter(window: int):
+    @F.arrow_udf(_CUT)
+    def without(text: pa.Array, lines: pa.Array, spans: pa.Array) -> pa.Array:
+        found = []
+        for t, gone, span in zip(text.to_pylist(), lines, spans, strict=True):
+            at = [np.asarray(span.values.field(f), np.int64) for f in ("start", "n")] if span.is_valid else [np.zeros(0, np.int64)] * 2
+            found.append(None if t is None else cut(t, np.asarray(gone.values if gone.is_valid else [], np.int64), *at, window))
+        columns = list(zip(*(x or (None, 0, 0) for x in found), strict=True)) or [[], [], []]
+        return pa.StructArray.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())], names=["text", "words", "spans"])
+
+    return without
+
+
+def _near(documents: DataFrame, table: DataFrame, size: int, on: list) -> DataFrame:
+    """Left join with a table of that many bytes, broadcast if they are few."""
+    return documents.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, on, "left")
+
+
+def dedup_paragraphs(documents: DataFrame, count_column: str | None = None, window: int = WINDOW, **options) -> DataFrame:
+    """All columns of ``documents`` with repeats removed from ``text``, and n_removed, n_spans, removed, kept_in.
+
+    What goes: lines of ``min_words`` words or more that are alike (Jaccard) to one that
+    stays, and words covered by ``window`` consecutive words that an earlier document holds
+    too, wherever lines break.  ``n_removed`` are words, ``n_spans`` maximal runs of them,
+    ``removed`` the positions (from 0) of lines that go as wholes by their likeness,
+    ``kept_in`` the doc_ids that keep what goes.  All else stays byte for byte.
 
-    ``removed`` are the positions (from 0, in lines) of removed paragraphs, ``kept_in`` the
-    doc_ids that keep them.  Removed lines go with their line break; all else stays byte for
-    byte.  Null and empty texts and texts of short paragraphs stay as they are; rows equal in
-    doc_id and text are one document.  Existing columns of the four new names are replaced.
-    ``count_column``, if given, is set to the code points of each changed text.
+    Null and empty texts, and texts without repeats, stay as they are; a text may become
+    empty.  Rows equal in doc_id and text are one document, of which every row is treated
+    alike; rows that only share a doc_id are different documents.  Null doc_ids come last in
+    the order of documents.  Ties between documents go to the least text hash.  Existing
+    columns of the four new names are replaced, all others pass through.  ``count_column``, if the
+    input has it, is set to the code points of each changed text.  An empty table gives none.
     """
+    own_id, own_key, lines, lines_in, spans, spans_in, result = fresh(documents, "own_id", "own_key", "lines", "lines_in", "spans", "spans_in", "result")
     with scratch() as keep:
-        removed = repeated_paragraphs(documents, **options).groupBy("doc_id", "row_hash").agg(
-            F.array_sort(F.collect_set("position")).alias("removed"), F.array_sort(F.collect_set("kept_doc_id")).alias("kept_in")
-        )
-        removed = keep(stash(removed.toDF("_doc_id", "_row_hash", "_removed", "_kept_in"), "removals"))
-    size = removed.agg(F.sum(48 + 4 * F.size("_removed") + 8 * F.size("_kept_in"))).first()[0] or 0
-    joined = documents.join(F.broadcast(removed) if size <= BROADCAST_BYTES else removed, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_row_hash")), "left")
-    lines = F.split("text", "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
-    left = F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
-    joined = joined.withColumn("_lines", F.when(F.col("_removed").isNotNull(), lines))
-    counted = {count_column: F.when(F.col("_removed").isNull(), F.col(count_column)).otherwise(F.length(left).cast(documents.schema[count_column].dataType))} if count_column else {}
+        found = repeated_paragraphs(documents, **options).groupBy("doc_id", "row_hash").agg(F.collect_set("position").alias("removed"), F.collect_set("kept_doc_id").alias("kept_docs"))
+        removed = keep(stash(found.withColumn("key", document_key(F.col("doc_id"), F.col("row_hash"))).select("doc_id", "key", F.array_sort("removed").alias("removed"), "kept_docs"), "removals"))
+        few = removed.agg(F.sum(48 + 4 * F.size("removed") + 8 * F.size("kept_docs"))).first()[0] or 0
+        source = slim(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+        source = source.withColumn("key", document_key(F.col("doc_id"), F.xxhash64("text")))
+        marked = _near(source, removed.select("key", "removed"), few, "key")
+        passages = keep(stash(repeated_windows(marked, window), "passages"))
+        more = passages.agg(F.sum(48 + 4 * 2 * F.size("spans") + 8 * F.size("kept_docs"))).first()[0] or 0
+    joined = documents.withColumns({own_id: F.col("doc_id").cast("long"), own_key: F.when(F.col("text").isNotNull(), document_key(F.col("doc_id").cast("long"), F.xxhash64("text")))})
+    for table, size, values, docs in ((removed.withColumnRenamed("removed", "values"), few, lines, lines_in), (passages.withColumnRenamed("spans", "values"), more, spans, spans_in)):
+        other_id, other_key = fresh(joined, "other_id", "other_key")
+        table = table.select(F.col("doc_id").alias(other_id), F.col("key").alias(other_key), F.col("values").alias(values), F.col("kept_docs").alias(docs))
+        joined = _near(joined, table, size, [F.col(own_key) == F.col(other_key), F.col(own_id).eqNullSafe(F.col(other_id))]).drop(other_id, other_key)
+    touched = F.col(lines).isNotNull() | F.col(spans).isNotNull()
+    joined = joined.withColumn(result, _cutter(window)(F.when(touched, F.col("text")), F.col(lines), F.col(spans)))
+    none = F.array().cast("array<long>")
+    counted = {}
+    if count_column in documents.columns:
+        counted = {count_column: F.when(touched, F.length(F.col(result)["text"]).cast(documents.schema[count_column].dataType)).otherwise(F.col(f"`{count_column}`"))}
     return joined.withColumns(
         counted
         | {
-            "n_paragraphs": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
-            "n_removed": F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")),
-            "removed": F.coalesce("_removed", F.array().cast("array<int>")),
-            "kept_in": F.coalesce("_kept_in", F.array().cast("array<long>")),
-            "text": F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left),
+            "n_removed": F.coalesce(F.col(result)["words"], F.lit(0).cast("long")),
+            "n_spans": F.coalesce(F.col(result)["spans"], F.lit(0).cast("long")),
+            "removed": F.coalesce(F.col(lines), F.array().cast("array<int>")),
+            "kept_in": F.array_sort(F.array_union(F.coalesce(F.col(lines_in), none), F.coalesce(F.col(spans_in), none))),
+            "text": F.when(touched, F.col(result)["text"]).otherwise(F.col("text")),
         }
-    ).drop("_doc_id", "_row_hash", "_removed", "_kept_in", "_lines")
+    ).drop(own_id, own_key, lines, lines_in, spans, spans_in, result)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, paragraphs, passages, suffix_dedup, tokens, toxicity
+from pagewright.llm import ann, decontaminate, html_text, langid, minhash, packing, paragraphs, suffix_dedup, tokens, toxicity
 from pagewright.llm.shared import stash, table
 
 
@@ -33,7 +33,7 @@ def op6_suffix_dedup(spark, sf_dir):
 
 
 def op7_decontaminate(spark, sf_dir):
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs")
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("runs", "matches")
 
 
 def op8_minhash(spark, sf_dir):
@@ -45,8 +45,7 @@ def op9_language_id(spark, sf_dir):
 
 
 def op10_paragraph_dedup(spark, sf_dir):
-    lines = paragraphs.dedup_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return passages.dedup_passages(stash(lines, "lines"))
+    return paragraphs.dedup_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def pipeline(spark, sf_dir):
