@@ -1,14 +1,19 @@
 """Toxicity by nearest labelled examples.
 
-Labelled examples are TF-IDF vectors over a vocabulary of words and word beginnings that
-go with the label (chi-square), plus one term for all other words, so that a lone accidental
-hit in a long text stays near the clean examples.  A block-max index (dense vectors, no
-postings) holds, for every term and block of examples, the largest weight; blocks are visited by falling upper
-bound until no block can change the k best, which makes the cosines over that vocabulary exact.  Votes weighted
-by distance are calibrated by isotonic regression on leave-one-out votes of the examples.
-
-Bounded by parameters: examples (``TOXIC_EXAMPLES``, ``CLEAN_EXAMPLES``, in expectation) and
-vocabulary.  Document frequencies count all documents.
+Labelled examples are TF-IDF vectors over words and word beginnings.  A term's weight is
+(1 + ln tf) * idf * relevance, where relevance is 1 - penalty / G: G is the term's likelihood
+ratio (G statistic) with the label over the n examples, and a term whose G does not pay the
+penalty of the extended Bayesian information criterion (ln n + 2 * GAMMA * ln(terms tried))
+has weight zero.  No term is cut by a fixed count or a fixed number of terms.  The words of a
+text are pooled in one more term, so that one accidental hit in a long text is near to long
+texts; texts without any term of weight have no vector.  An inverted index holds a posting for every term of every
+example, and the largest weight of each term in each block of examples; blocks are visited
+by falling upper bound until no block can change the k best, which makes the cosines exact.
+Votes weighted by distance are calibrated by isotonic regression on leave-one-out votes of
+the examples.
+
+Bounded by parameters: the examples (``TOXIC_EXAMPLES``, ``CLEAN_EXAMPLES``, in expectation),
+and so their terms and postings.  Document frequencies count all documents.
 """
 
 from __future__ import annotations
@@ -18,41 +23,44 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import Words, crc_mod3, prefix_sums, slices, slim, span_hashes, stash, text_bytes
+from pagewright.llm.shared import Words, crc_mod3, prefix_sums, scratch, slices, slim, span_hashes, stash, text_bytes
 
 TOXIC_EXAMPLES = 2_000
 CLEAN_EXAMPLES = 4_000
-VOCABULARY = 1_024
-MIN_CHI2 = 20.0
-MIN_DF = 5
 #: Bytes of the word beginnings that are terms beside the word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
+#: Share of the penalty for the number of terms that are tried.
+GAMMA = 0.5
 NEIGHBOURS = 15
 BLOCK = 64
 CUT = 0.7
 _EVIDENCE = 5
 
 
-def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Words of lower-cased texts, and (hash, document) of each occurrence of a term."""
+#: Hash of the pooled term.
+_POOLED = np.uint64(0)
+
+
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of each occurrence of a term in lower-cased texts; each word also is one of the pooled term."""
     words = Words(data, offsets)
     doc = np.repeat(np.arange(len(words.counts)), words.counts)
     if not len(words.hashes):
-        return words, np.zeros(0, np.uint64), doc
+        return np.zeros(0, np.uint64), doc
     sums = prefix_sums(words.lowered)
-    hashes, docs = [words.hashes], [doc]
+    hashes, docs = [words.hashes, np.full(len(doc), _POOLED)], [doc, doc]
     for n in BEGINNINGS:
         long_ = np.flatnonzero(words.ends - words.starts > n)
         starts = words.starts[long_]
         hashes.append(~span_hashes(sums, starts, starts + n))
         docs.append(doc[long_])
-    return words, np.concatenate(hashes), np.concatenate(docs)
+    return np.concatenate(hashes), np.concatenate(docs)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, Words, np.ndarray, np.ndarray]]:
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = text_bytes(pc.utf8_lower(pc.fill_null(batch.column("text"), "")))
     for lo, hi in slices(offsets):
         yield lo, hi, *_terms(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
@@ -62,7 +70,7 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """(term, toxic, n): in how many examples of a partition a term occurs."""
     for batch in batches:
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-        for lo, _, _, hashes, doc in _texts(batch):
+        for lo, _, hashes, doc in _texts(batch):
             pair = np.unique(np.stack([hashes, doc.astype(np.uint64)]), axis=1) if len(hashes) else np.zeros((2, 0), np.uint64)
             term, label = pair[0].view(np.int64), toxic[lo + pair[1].astype(np.int64)]
             for y in (0, 1):
@@ -71,66 +79,100 @@ def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 class Vocabulary:
-    """Sorted term hashes with a bit table in front of the search; the last column is "any other word"."""
+    """Sorted term hashes with a bit table in front of the search."""
 
     def __init__(self, hashes: np.ndarray):
         self.hashes = np.unique(hashes)
         self.gate = np.zeros(1 << 20, bool)
         self.gate[self.hashes & np.uint64(0xFFFFF)] = True
 
-    def counts(self, words: Words, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, column, count), sorted by document and column."""
-        width = len(self.hashes) + 1
+    def counts(self, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, term, count), sorted by document and term."""
+        width = max(1, len(self.hashes))
         maybe = np.flatnonzero(self.gate[hashes & np.uint64(0xFFFFF)])
         hashes, doc = hashes[maybe], doc[maybe]
         place = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
         hit = self.hashes[place] == hashes if len(self.hashes) else np.zeros(0, bool)
         keys, n = np.unique(doc[hit] * width + place[hit], return_counts=True)
-        some = np.flatnonzero(words.counts)
-        keys = np.concatenate([keys, some * width + width - 1])
-        n = np.concatenate([n, words.counts[some]])
-        order = np.argsort(keys, kind="stable")
-        return keys[order] // width, keys[order] % width, n[order]
+        return keys // width, keys % width, n
 
 
 def _document_frequencies(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df = np.zeros(len(vocabulary.hashes) + 2, np.int64)
+    df = np.zeros(len(vocabulary.hashes) + 1, np.int64)
     for batch in batches:
         df[-1] += batch.num_rows
-        for _, _, words, hashes, doc in _texts(batch):
-            _, column, _ = vocabulary.counts(words, hashes, doc)
+        for _, _, hashes, doc in _texts(batch):
+            _, column, _ = vocabulary.counts(hashes, doc)
             df[:-1] += np.bincount(column, minlength=len(df) - 1)
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df)), pa.int32()), pa.array(df)], names=["column", "n"])
 
 
-def _weights(idf: np.ndarray, doc: np.ndarray, column: np.ndarray, count: np.ndarray, n_docs: int) -> np.ndarray:
-    """Unit-length (1 + ln tf) * idf weights."""
-    w = (1 + np.log(count)) * idf[column]
+def relevance(toxic: Column, all_: Column, n_toxic: int, n: int, penalty: float) -> Column:
+    """max(0, 1 - penalty / G) of a term in ``toxic`` of ``n_toxic`` and ``all_`` of ``n`` examples."""
+    if not 0 < n_toxic < n:
+        return F.lit(0.0)
+    cells = [(toxic, all_ * (n_toxic / n)), (all_ - toxic, all_ * (1 - n_toxic / n))]
+    cells += [(n_toxic - toxic, (n - all_) * (n_toxic / n)), (n - n_toxic - all_ + toxic, (n - all_) * (1 - n_toxic / n))]
+    g = sum((F.when(seen > 0, 2 * seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells), F.lit(0.0))
+    return F.when(g > penalty, 1 - penalty / g).otherwise(0.0)
+
+
+def _weights(scale: np.ndarray, doc: np.ndarray, column: np.ndarray, count: np.ndarray, n_docs: int) -> np.ndarray:
+    """Unit-length (1 + ln tf) * scale weights."""
+    w = (1 + np.log(count)) * scale[column]
     norm = np.sqrt(np.bincount(doc, weights=w * w, minlength=n_docs))
     return w / norm[doc]
 
 
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(range, place) of all places of the ranges [low, high)."""
+    n = high - low
+    which = np.repeat(np.arange(len(n)), n)
+    return which, low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+
+
 class BlockMaxIndex:
-    """Examples in blocks, the largest weight of each term in each block, and exact k-nearest search."""
-
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, block: int = BLOCK):
-        # like examples side by side, so that the bounds are tight; ids break ties
-        order = np.lexsort((ids, vectors.max(1), vectors.argmax(1))) if len(ids) else np.zeros(0, np.int64)
-        self.ids, self.labels, self.vectors, self.block = ids[order], labels[order], vectors[order], block
-        n = -(-len(ids) // block)
-        self.block_max = np.stack([self.vectors[b * block : (b + 1) * block].max(0) for b in range(n)], axis=1) if n else np.zeros((vectors.shape[1], 0))
-
-    def nearest(self, columns: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of the k nearest, nearest first, ties to the smaller id; ``leave_out`` is a position."""
-        bounds = weights @ self.block_max[columns]
-        order = np.argsort(-bounds, kind="stable")
+    """Postings of examples, the largest weight of each term in each block of them, and exact k-nearest search.
+
+    (example, term, weight) are rows of unit vectors.  Examples are in order of their
+    strongest terms, so that blocks hold like ones; ids break ties.
+    """
+
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK):
+        strongest = np.zeros((len(ids), 2))
+        order = np.lexsort((weight, example))
+        last = np.flatnonzero(np.diff(example[order], append=-1)) if len(order) else order
+        strongest[example[order][last]] = np.stack([term[order][last], weight[order][last]], 1)
+        rank = np.lexsort((ids, strongest[:, 1], strongest[:, 0]))
+        place = np.empty(len(ids), np.int64)
+        place[rank] = np.arange(len(ids))
+        self.ids, self.labels, self.block, self.blocks = ids[rank], labels[rank], block, -(-len(ids) // block)
+        order = np.lexsort((place[example], term))
+        self.at, term, self.weight = place[example][order].astype(np.int32), term[order], weight[order]
+        entry = np.flatnonzero(np.diff(term * max(1, self.blocks) + self.at // block, prepend=-1))
+        #: entries are the postings of a term in a block: postings first[e] .. first[e + 1]
+        self.first = np.append(entry, len(term))
+        self.entry_block = (self.at[entry] // block).astype(np.int32)
+        self.entry_max = np.maximum.reduceat(self.weight, entry) if len(entry) else np.zeros(0)
+        self.of_term = np.searchsorted(term[entry], np.arange(terms + 1))
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, cosines) of the k nearest that share a term, nearest first, ties to the smaller id; ``leave_out`` is a position."""
+        which, entry = _ranges(self.of_term[terms], self.of_term[terms + 1])
+        block = self.entry_block[entry]
+        bounds = np.bincount(block, weights=weights[which] * self.entry_max[entry], minlength=self.blocks)
+        by_block = np.argsort(block, kind="stable")
+        edges = np.searchsorted(block[by_block], np.arange(self.blocks + 1))
         place, score = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if len(score) >= k and bounds[b] < score[k - 1] - 1e-12:
+        for b in np.argsort(-bounds, kind="stable"):
+            if edges[b] == edges[b + 1] or len(score) >= k and bounds[b] < score[k - 1] - 1e-12:
                 break
-            at = np.arange(b * self.block, min((b + 1) * self.block, len(self.ids)))
-            got = self.vectors[at[0] : at[-1] + 1][:, columns] @ weights
-            keep = (got > 0) & (at != leave_out)
+            own = by_block[edges[b] : edges[b + 1]]
+            of, posting = _ranges(self.first[entry[own]], self.first[entry[own] + 1])
+            got = np.bincount(self.at[posting] - b * self.block, weights=weights[which[own][of]] * self.weight[posting], minlength=self.block)
+            at = np.flatnonzero(got > 0)
+            got, at = got[at], at + b * self.block
+            keep = at != leave_out
             if len(score) >= k:
                 keep &= got >= score[k - 1] - 1e-12
             place, score = np.concatenate([place, at[keep]]), np.concatenate([score, got[keep]])
@@ -138,6 +180,12 @@ class BlockMaxIndex:
             place, score = place[best], score[best]
         return place, score
 
+    def vector(self, position: int) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, weights) of an example."""
+        posting = np.flatnonzero(self.at == position)
+        entry = np.searchsorted(self.first, posting, "right") - 1
+        return np.searchsorted(self.of_term, entry, "right") - 1, self.weight[posting]
+
     def vote(self, place: np.ndarray, score: np.ndarray) -> float:
         """Share of label 1 among the neighbours, weighted by 1 / (distance + 0.05)."""
         weight = 1 / (np.maximum(0, 1 - score) + 0.05)
@@ -157,28 +205,32 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 
 class ToxicityModel:
-    """Vocabulary, inverse document frequencies, example index and calibration."""
+    """Terms (the pooled one first), their scales (idf times relevance), the example index and the calibration.
+
+    ``without`` is the score of texts without a term of weight.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, idf: np.ndarray, index: BlockMaxIndex, prior: float, clean_weight: float):
-        self.vocabulary, self.idf, self.index, self.prior = vocabulary, idf, index, prior
+    def __init__(self, vocabulary: Vocabulary, scale: np.ndarray, index: BlockMaxIndex, without: float, clean_weight: float):
+        self.vocabulary, self.scale, self.index, self.without = vocabulary, scale, index, without
         votes, truth, weight = [], [], []
         for k in range(len(index.ids)):
-            columns = np.flatnonzero(index.vectors[k])
-            v = index.vote(*index.nearest(columns, index.vectors[k][columns], NEIGHBOURS, leave_out=k)) if len(columns) else np.nan
-            if not np.isnan(v):
-                votes.append(v), truth.append(index.labels[k]), weight.append(1.0 if index.labels[k] else clean_weight)
-        self.knots, self.levels = isotonic(np.array(votes), np.array(truth, float), np.array(weight)) if votes else (np.zeros(1), np.full(1, prior))
+            terms, weights = index.vector(k)
+            if len(terms) > 1:
+                votes.append(index.vote(*index.nearest(terms, weights, NEIGHBOURS, leave_out=k)))
+                truth.append(index.labels[k]), weight.append(1.0 if index.labels[k] else clean_weight)
+        known = ~np.isnan(np.array(votes))
+        self.knots, self.levels = isotonic(np.array(votes)[known], np.array(truth, float)[known], np.array(weight)[known]) if known.any() else (np.zeros(1), np.full(1, without))
 
     def calibrated(self, vote: float) -> float:
-        return float(np.clip(np.interp(vote, self.knots, self.levels), 0, 1)) if not np.isnan(vote) else self.prior
+        return float(np.clip(np.interp(vote, self.knots, self.levels), 0, 1)) if not np.isnan(vote) else self.without
 
 
-def fit(documents: DataFrame, labels: DataFrame, toxic_examples: int = TOXIC_EXAMPLES, clean_examples: int = CLEAN_EXAMPLES, vocabulary_size: int = VOCABULARY) -> ToxicityModel:
+def fit(documents: DataFrame, labels: DataFrame, toxic_examples: int = TOXIC_EXAMPLES, clean_examples: int = CLEAN_EXAMPLES) -> ToxicityModel:
     """Fits on the labelled documents given (the caller leaves the held-out fold out of ``labels``).
 
     Of a label with more rows than its bound, rows whose hashed id falls below the matching
     share are examples.  Null labels and ids are left out; a doubly labelled id counts as its
-    larger label; examples without words are left out.
+    larger label; examples without words are no neighbours.
     """
     known = slim(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = {int(r[0]): r[1] for r in known.groupBy("toxic").count().collect()}
@@ -186,41 +238,46 @@ def fit(documents: DataFrame, labels: DataFrame, toxic_examples: int = TOXIC_EXA
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
     chosen = known.where(unit < F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0]))  # bounded, so broadcast
     texts = slim(documents, "doc_id", "text").where("text IS NOT NULL")
-    examples = stash(texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic"), "toxic-examples")
-
-    n1, n0 = (examples.where(f"toxic = {y}").count() for y in (1, 0))
-    share = n1 / max(1, n1 + n0)
-    prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    per_term = examples.mapInArrow(_example_terms, "term long, toxic int, n long").groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n"))
-    expected = F.col("n") * share
-    chi2 = (F.col("a") - expected) ** 2 * (1 / expected + 1 / (F.col("n") - expected))
-    best = []
-    if 0 < share < 1:
-        best = per_term.where((F.col("n") >= MIN_DF) & (chi2 >= MIN_CHI2)).orderBy(chi2.desc(), "term").limit(vocabulary_size).select("term").collect()
-    vocabulary = Vocabulary(np.array([r[0] for r in best], np.int64).view(np.uint64))
-    width = len(vocabulary.hashes) + 1
-
-    sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
-    got = slim(documents, "text").mapInArrow(lambda b: _document_frequencies(sent.value, b), "column int, n long").groupBy("column").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(width + 1)
-    for column, n in got:
-        df[column] = n
-    idf = np.log(1 + df[-1] / np.maximum(1, df[:-1]))
-
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(lambda b: _example_vectors(sent.value, b), "doc_id long, toxic int, columns array<int>, counts array<long>").collect()
+    with scratch():
+        examples = stash(texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic"), "toxic-examples")
+        n1, n0 = (examples.where(f"toxic = {y}").count() for y in (1, 0))
+        prior = sizes.get(1, 0) / max(1, sum(sizes.values()))
+        per_term = examples.mapInArrow(_example_terms, "term long, toxic int, n long").groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum("n").alias("n"))
+        per_term = stash(per_term, "example-terms")
+        penalty = float(np.log(max(1, n1 + n0)) + 2 * GAMMA * np.log(max(1, per_term.count())))
+        seen = per_term.select("term", relevance(F.col("a"), F.col("n"), n1, n1 + n0, penalty).alias("relevance")).where("relevance > 0").collect()
+        terms, relevant = np.array([r[0] for r in seen], np.int64).view(np.uint64), np.array([r[1] for r in seen])
+        order = np.argsort(terms)
+        terms, relevant = terms[order], relevant[order]
+        if len(terms):
+            terms, relevant = np.append(_POOLED, terms[terms != _POOLED]), np.append(1.0, relevant[terms != _POOLED])
+        vocabulary = Vocabulary(terms)
+
+        sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
+        got = slim(documents, "text").mapInArrow(lambda b: _document_frequencies(sent.value, b), "column int, n long").groupBy("column").agg(F.sum("n").alias("n")).collect()
+        df = np.zeros(len(terms) + 1)
+        for column, n in got:
+            df[column] = n
+        scale = np.log(1 + df[-1] / np.maximum(1, df[:-1])) * relevant
+
+        rows = examples.select("doc_id", "toxic", "text").mapInArrow(lambda b: _example_vectors(sent.value, b), "doc_id long, toxic int, columns array<int>, counts array<long>").collect()
     rows = sorted((r for r in rows if len(r["columns"])), key=lambda r: (r["doc_id"], r["toxic"], r["columns"], r["counts"]))
-    vectors = np.zeros((len(rows), width))
-    for k, r in enumerate(rows):
-        column, count = np.array(r["columns"]), np.array(r["counts"])
-        vectors[k, column] = _weights(idf, np.zeros(len(column), np.int64), column, count, 1)
-    index = BlockMaxIndex(np.array([r["doc_id"] for r in rows], np.int64), np.array([r["toxic"] for r in rows], np.int64), vectors)
-    return ToxicityModel(vocabulary, idf, index, prior, shares[1] / shares[0])
+    example = np.repeat(np.arange(len(rows)), [len(r["columns"]) for r in rows])
+    column = np.concatenate([np.zeros(0, np.int64), *[np.array(r["columns"], np.int64) for r in rows]])
+    count = np.concatenate([np.zeros(0, np.int64), *[np.array(r["counts"], np.int64) for r in rows]])
+    ids, toxic = np.array([r["doc_id"] for r in rows], np.int64), np.array([r["toxic"] for r in rows], np.int64)
+    index = BlockMaxIndex(ids, toxic, example, column, _weights(scale, example, column, count, len(rows)), len(terms))
+    # examples without a term of weight (but the pooled one): how many of them are toxic, at the labels' true shares
+    plain = np.bincount(example, minlength=len(rows)) < 2 if len(terms) else np.ones(len(rows), bool)
+    weight = np.where(toxic[plain] > 0, 1.0, shares[1] / shares[0])
+    without = float(weight @ toxic[plain] / weight.sum()) if len(terms) and plain.any() else prior
+    return ToxicityModel(vocabulary, scale, index, without, shares[1] / shares[0])
 
 
 def _example_vectors(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, words, hashes, doc in _texts(batch):
-            d, column, count = vocabulary.counts(words, hashes, doc)
+        for lo, hi, hashes, doc in _texts(batch):
+            d, column, count = vocabulary.counts(hashes, doc)
             ends = np.searchsorted(d, np.arange(hi - lo + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -234,18 +291,19 @@ def _example_vectors(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch])
 
 
 def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index, width = model.index, len(model.idf)
+    index = model.index
     met: dict[bytes, tuple[float, list[dict]]] = {}
     for batch in batches:
-        for lo, hi, words, hashes, doc in _texts(batch):
-            scores: list[float] = [model.prior] * (hi - lo)
+        for lo, hi, hashes, doc in _texts(batch):
+            scores: list[float] = [model.without] * (hi - lo)
             evidence: list[list[dict]] = [[] for _ in range(hi - lo)]
-            d, column, count = model.vocabulary.counts(words, hashes, doc)
+            d, column, count = model.vocabulary.counts(hashes, doc)
             if len(d):
-                weight = _weights(model.idf, d, column, count, hi - lo)
+                weight = _weights(model.scale, d, column, count, hi - lo)
                 for s, e in zip(np.flatnonzero(np.diff(d, prepend=-1)), np.append(np.flatnonzero(np.diff(d)) + 1, len(d)), strict=True):
-                    # a text with no term but "other words" is the same vector at any length
-                    key = b"" if e - s == 1 and column[s] == width - 1 else column[s:e].tobytes() + count[s:e].tobytes()
+                    if e - s == 1:  # the pooled term alone
+                        continue
+                    key = column[s:e].tobytes() + count[s:e].tobytes()
                     if key not in met:
                         place, cosine = index.nearest(column[s:e], weight[s:e], NEIGHBOURS)
                         if len(met) > 100_000:
@@ -264,9 +322,11 @@ def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[
 def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, score, predicted, evidence) of every row, whole texts, without a shuffle.
 
-    ``evidence`` are the nearest examples.  Null, empty and wordless texts have the labels'
-    base rate as score and no evidence, as all texts have where there are no examples.
-    Repeated rows are each scored; other columns are ignored.
+    ``evidence`` are the nearest examples; those at the same cosine come in order of doc_id, and
+    the smaller ids are the neighbours.  Texts without a term of weight (null, empty and wordless
+    ones too) have as score the share of label 1 among the examples like them, or the labels'
+    share where there are none, and no evidence.  Repeated rows are each scored; very long
+    texts are read whole; other columns are ignored; an empty table gives no rows.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
     rows = slim(documents, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
