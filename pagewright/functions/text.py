@@ -102,7 +102,7 @@ def latin_runs_reversed(text: Column) -> Column:
 
 def word_runs(text: Column) -> Column:
     """Runs of Chinese characters, of letters and digits (with "-" and a decimal "." inside), and of other characters."""
-    pattern = "([\\u4e00-\\u9fff]+|[a-zA-Z0-9](?:[a-zA-Z0-9-]|\\.(?=[0-9]))*|[^a-zA-Z0-9\\u4e00-\\u9fff]+)"
+    pattern = "([\\u4e00-\\u9fff]++|[a-zA-Z0-9][a-zA-Z0-9-]*+(?:\\.[0-9][a-zA-Z0-9-]*+)*+|[^a-zA-Z0-9\\u4e00-\\u9fff]++)"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
@@ -111,11 +111,20 @@ def remove_cjk_text(latex: Column) -> Column:
     return F.replace(F.regexp_replace(latex, "\\\\text\\s*\\{([^{}]*[\\u4e00-\\u9fff][^{}]*)\\}", "$1"), F.lit('"'), F.lit(""))
 
 
-def tighten_latex(latex: Column, rounds: int = 4) -> Column:
-    """Blanks between LaTeX tokens that need none go; blanks between letters stay.  Repeated as often as given."""
-    for _ in range(rounds):
-        latex = F.regexp_replace(latex, r"(?<![a-zA-Z\\])\s+(?=\S)|(?<=\S)\s+(?![a-zA-Z])", "")
-    return latex
+#: Commands whose argument holds words, written with a blank before the brace.
+_WORDY = r"\\(?:operatorname|mathrm|text|mathbf)\s?\*? \{.*?\}"
+
+
+def tighten_latex(latex: Column) -> Column:
+    """LaTeX without the blanks that its tokens don't need.
+
+    Runs of blanks count as one.  It goes between two characters that are no letters, and
+    between such a one and an ASCII letter, unless it stands behind a backslash; blanks between
+    letters stay.  That leaves nothing to a second round.  Arguments of commands for words lose all blanks.
+    """
+    found, rest = F.regexp_extract_all(latex, F.lit(f"({_WORDY})")), F.split(latex, _WORDY, -1)
+    joined = F.concat(rest[0], F.array_join(F.transform(found, lambda m, i: F.concat(F.replace(m, F.lit(" "), F.lit("")), F.get(rest, i + 1))), ""))
+    return F.regexp_replace(F.regexp_replace(joined, r"\s+", " "), r"(?<=[^\p{L}\\\s]) (?=[^\p{L}]|[a-zA-Z])|(?<=[a-zA-Z]) (?=[^\p{L}])", "")
 
 
 def delimiter(label: Column) -> Column:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
+from pagewright.operators import reading
+from pagewright.operators.paged import by_page
 
 PAGE = "page_id"
 
@@ -87,86 +85,52 @@ def argmax(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
-# --- XY cut ----------------------------------------------------------------------------------
-
-
-def _gaps(low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
-    """Members of each run of boxes whose extents on an axis touch no other run's."""
-    order = np.argsort(low, kind="stable")
-    reach = np.maximum.accumulate(high[order])
-    cuts = np.flatnonzero(low[order][1:] >= reach[:-1]) + 1
-    return [np.sort(part) for part in np.split(order, cuts)]
-
-
-def xy_cut(boxes: np.ndarray, first_axis: int = 1) -> list[int]:
-    """Reading order of boxes (n, 4) by recursive cuts at empty stripes, starting along ``first_axis`` (1: rows first)."""
+# --- reading order ---------------------------------------------------------------------------
 
-    def cut(members: np.ndarray, axis: int, stuck: bool) -> list[int]:
-        if len(members) <= 1:
-            return members.tolist()
-        parts = _gaps(boxes[members, axis], boxes[members, axis + 2])
-        if len(parts) == 1:
-            if stuck:  # no empty stripe on either axis
-                return members[np.lexsort((boxes[members, 0], boxes[members, 1]))].tolist()
-            return cut(members, 1 - axis, True)
-        return [m for part in parts for m in cut(members[part], 1 - axis, False)]
+#: Optional columns of blocks that the reading order uses: text lines, their mean size, and where the first and last line begin and end.
+LINE_COLUMNS = {"lines": "int", "line_width": "double", "line_height": "double", "seg_start": "double", "seg_end": "double", "direction": "string"}
 
-    return cut(np.arange(len(boxes)), first_axis, False)
 
-
-def _weighted_distance(a: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Gap between a block and others, then height on the page, then left edge."""
-    dx = np.maximum(0, np.maximum(others[:, 0] - a[2], a[0] - others[:, 2]))
-    dy = np.maximum(0, np.maximum(others[:, 1] - a[3], a[1] - others[:, 3]))
-    return (dx + dy) * 1e4 + others[:, 1] + others[:, 0] * 1e-4
+def _blocks(page: dict[str, list]) -> list[reading.Block]:
+    out = []
+    for k, id_ in enumerate(page["box_id"]):
+        given = {c: page[c][k] for c in ("lines", "line_width", "line_height", "seg_start", "seg_end") if c in page and page[c][k] is not None}
+        axis = {"horizontal": 0, "vertical": 1}.get(page["direction"][k]) if "direction" in page else None
+        out.append(reading.Block(id_, page["label"][k], [page[s][k] for s in G.SIDES], axis=axis, **given))
+    return out
 
 
-def order_page(page: pd.DataFrame) -> list[int]:
-    """Row numbers of a page's blocks in reading order.
+def _enclosing(blocks: list[reading.Block]) -> tuple[int, int, int, int]:
+    sides = list(zip(*(b.own for b in blocks), strict=True))
+    return min(sides[0]), min(sides[1]), max(sides[2]), max(sides[3])
 
-    Text and titles are cut rows first where full-width blocks part the page, columns first
-    otherwise; pictures, tables and their captions go beside the nearest ordered block, before
-    it if they begin higher; headers come first, footers and unordered blocks last.
-    """
-    boxes = page[["x1", "y1", "x2", "y2"]].to_numpy(float)
-    groups = page["order_label"].to_numpy()
-    text = np.flatnonzero(np.isin(groups, ["normal_text", "paragraph_title", "doc_title"]))
-    order: list[int] = []
-    if len(text):
-        extent = boxes[text, 2].max() - boxes[text, 0].min()
-        crossing = ((boxes[text, 2] - boxes[text, 0]) > 0.7 * extent).any()
-        order = [int(text[k]) for k in xy_cut(boxes[text], 1 if crossing or len(text) < 3 else 0)]
-    for k in np.flatnonzero(np.isin(groups, ["vision", "vision_title"])).tolist():
-        if not order:
-            order = [k]
-            continue
-        near = int(np.argmin(_weighted_distance(boxes[k], boxes[order])))
-        before = (boxes[k, 1], boxes[k, 0]) < (boxes[order[near], 1], boxes[order[near], 0])
-        order.insert(near if before else near + 1, k)
 
-    def listed(name: str) -> list[int]:
-        rows = np.flatnonzero(groups == name)
-        return rows[np.lexsort((boxes[rows, 0], boxes[rows, 1]))].tolist()
+def order_page(page: dict[str, list]) -> list[int]:
+    """Box ids of a page in reading order; with ``region_id`` in two levels, blocks without a region last."""
+    blocks = _blocks(page)
+    regions: dict = {}
+    for b, region in zip(blocks, page.get("region_id", [0] * len(blocks)), strict=True):
+        regions.setdefault((region is None, region or 0), []).append(b)
+    return [b.id for b in reading.order_regions([(_enclosing(regions[r]), regions[r]) for r in sorted(regions)], _enclosing(blocks))]
 
-    return listed("header") + order + listed("unordered") + listed("footer")
 
+def _ordered(page: dict[str, list]) -> dict[str, list]:
+    ids = order_page(page)
+    return {PAGE: page[PAGE], "box_id": ids, "order_index": list(range(1, len(ids) + 1))}
 
-def reading_order(blocks: DataFrame, rule: Callable[[pd.DataFrame], list[int]] = order_page) -> DataFrame:
-    """(page_id, box_id, order_index) from 1.  A page is one group: its blocks move each other, so it is ordered as a whole."""
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("box_id").reset_index(drop=True)
-        order = rule(page)
-        return pd.DataFrame({PAGE: page[PAGE].to_numpy()[order], "box_id": page["box_id"].to_numpy()[order], "order_index": np.arange(1, len(order) + 1)})
+def reading_order(blocks: DataFrame) -> DataFrame:
+    """(page_id, box_id, order_index) from 1.
 
-    rows = blocks.select(PAGE, "box_id", *[F.col(s).cast("double").alias(s) for s in G.SIDES], order_label(F.col("label")).alias("order_label"))
-    return rows.groupBy(PAGE).applyInPandas(run, f"{PAGE} long, box_id long, order_index long")
+    blocks: page_id, box_id, label, the four sides, and any of ``LINE_COLUMNS`` and region_id.
+    A page is one unit of work: its blocks move each other, so it is ordered as a whole.
+    """
+    more = [F.col(c).cast(kind).alias(c) for c, kind in (LINE_COLUMNS | {"region_id": "long"}).items() if c in blocks.columns]
+    rows = blocks.select(PAGE, "box_id", "label", *[F.col(s).cast("double").alias(s) for s in G.SIDES], *more)
+    return by_page(rows, [PAGE], ["box_id"], _ordered, f"{PAGE} long, box_id long, order_index long")
 
 
 def order_regions_and_blocks(blocks: DataFrame, regions: DataFrame, bridge: DataFrame) -> DataFrame:
-    """(page_id, box_id, order_index): regions by distance from the origin, blocks within each by reading order."""
-    near = Window.partitionBy(PAGE).orderBy(F.sqrt(F.col("x1") * F.col("x1") + F.col("y1") * F.col("y1")), "region_id")
-    placed = regions.select(PAGE, "region_id", F.row_number().over(near).alias("_region"))
-    inner = reading_order(blocks).join(bridge, [PAGE, "box_id"], "left").join(placed, [PAGE, "region_id"], "left")
-    both = Window.partitionBy(PAGE).orderBy(F.col("_region").asc_nulls_last(), "order_index")
-    return inner.select(PAGE, "box_id", F.row_number().over(both).cast("long").alias("order_index"))
+    """(page_id, box_id, order_index): regions as blocks of the page, then the blocks of each region; those without one last."""
+    known = bridge.join(regions.select(PAGE, "region_id"), [PAGE, "region_id"], "left_semi").select(PAGE, "box_id", "region_id")
+    return reading_order(blocks.drop("region_id").join(known, [PAGE, "box_id"], "left"))

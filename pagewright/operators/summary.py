@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
+from pagewright.operators.paged import by_page
 
 
 def enclosing_box(boxes: DataFrame, *keys: str) -> DataFrame:
@@ -63,22 +64,27 @@ def joined_text(rows: DataFrame, *keys: str, order: str = "order_index", text: s
     return rows.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x.t), separator).alias("text"), F.count(F.lit(1)).alias("n"))
 
 
+def _k_means(points: list[tuple[float, float]], k: int, rounds: int) -> list[int]:
+    n = min(k, len(points))
+    centres = [points[round(j * ((len(points) - 1) / (n - 1))) if n > 1 else 0] for j in range(n)]
+    own: list[int] = []
+    for _ in range(rounds):
+        own = [min(range(n), key=lambda j: (x - centres[j][0]) ** 2 + (y - centres[j][1]) ** 2) for x, y in points]
+        for j in range(n):
+            mine = [p for p, o in zip(points, own, strict=True) if o == j]
+            if mine:
+                centres[j] = (sum(x for x, _ in mine) / len(mine), sum(y for _, y in mine) / len(mine))
+    return own
+
+
 def cluster_centers(boxes: DataFrame, k: int = 4, rounds: int = 10) -> DataFrame:
     """(page_id, box_id, cluster): k-means of box centres within each page, started from evenly spread boxes in order.
 
-    One page's boxes are one group, so the iteration runs in numpy; a page of fewer boxes than k has a cluster a box.
+    A page of fewer boxes than k has a cluster a box.
     """
-    import numpy as np
-    import pandas as pd
-
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("box_id")
-        x = np.stack([(page.x1 + page.x2) / 2, (page.y1 + page.y2) / 2], axis=1).astype(float)
-        n = min(k, len(x))
-        c = x[np.linspace(0, len(x) - 1, n).round().astype(int)]
-        for _ in range(rounds):
-            at = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
-            c = np.stack([x[at == j].mean(0) if (at == j).any() else c[j] for j in range(n)])
-        return pd.DataFrame({"page_id": page.page_id.to_numpy(), "box_id": page.box_id.to_numpy(), "cluster": at.astype("int32")})
-
-    return boxes.select("page_id", "box_id", *G.SIDES).groupBy("page_id").applyInPandas(run, "page_id long, box_id long, cluster int")
+
+    def run(page: dict[str, list]) -> dict[str, list]:
+        points = [((a + c) / 2, (b + d) / 2) for a, b, c, d in zip(*(page[s] for s in G.SIDES), strict=True)]
+        return {"page_id": page["page_id"], "box_id": page["box_id"], "cluster": _k_means(points, k, rounds)}
+
+    return by_page(boxes.select("page_id", "box_id", *G.SIDES), ["page_id"], ["box_id"], run, "page_id long, box_id long, cluster int")

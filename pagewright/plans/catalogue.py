@@ -275,7 +275,18 @@ def _(spark, d):
     return match.flags_as_of(starts, blocks(spark, d).select("page_id", F.col("x1").alias("flag")))
 
 
-@query("cell_split")
+@query(
+    "cell_split",
+    f"""{WITH}, s AS (SELECT page_id, span_id, x1, y1 - 200 AS y1, x2 + 800 AS x2, y2 + 200 AS y2 FROM spn),
+    hit AS (SELECT s.*, greatest(c.x1, s.x1) AS lo, least(c.x2, s.x2) AS hi, row_number() OVER w AS k, count(*) OVER (PARTITION BY s.page_id, s.span_id) AS n,
+        coalesce(greatest(s.x1, max(least(c.x2, s.x2)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), s.x1) AS reach
+      FROM s JOIN blk c ON s.page_id = c.page_id AND {_inter("s", "c")} * 2 > {_area("c")} WINDOW w AS (PARTITION BY s.page_id, s.span_id ORDER BY c.x1, c.x2)),
+    several AS (SELECT * FROM hit WHERE n >= 2),
+    piece AS (SELECT page_id, span_id, y1, y2, 2 * k AS o, reach AS x1, lo AS x2 FROM several WHERE lo > reach
+      UNION ALL SELECT page_id, span_id, y1, y2, 2 * k + 1, lo, hi FROM several WHERE hi > lo
+      UNION ALL SELECT page_id, span_id, y1, y2, 1000000, greatest(reach, hi), x2 FROM several WHERE k = n AND greatest(reach, hi) < x2)
+    SELECT page_id, span_id, CAST(row_number() OVER (PARTITION BY page_id, span_id ORDER BY o) - 1 AS INT) AS piece, x1, y1, x2, y2 FROM (SELECT page_id, span_id, x1, y1, x2, y2, min(o) AS o FROM piece GROUP BY ALL)""",
+)
 def _(spark, d):
     wide = spans(spark, d).withColumn("x2", F.col("x2") + 800).withColumn("y1", F.col("y1") - 200).withColumn("y2", F.col("y2") + 200)
     return match.split_spans(wide, blocks(spark, d).withColumnRenamed("box_id", "cell_id"))
@@ -316,7 +327,19 @@ def _(spark, d):
     return summary.children(rows).select("page_id", "parent_block_id", "n_children", *G.SIDES, F.array_join(F.transform("child_ids", lambda x: x.cast("string")), ",").alias("ids"))
 
 
-@query("cluster_centers")
+_FAR = "(p.x - {c}.x) * (p.x - {c}.x) + (p.y - {c}.y) * (p.y - {c}.y)"
+_OWN = "list_position(list_transform(acc, lambda c: " + _FAR.format(c="c") + "), list_min(list_transform(acc, lambda c: " + _FAR.format(c="c") + ")))"
+
+
+@query(
+    "cluster_centers",
+    # the state of the fold are the centres; n rounds from evenly spread boxes
+    f"""{WITH}, p AS (SELECT page_id, list({{'x': (x1 + x2) / 2.0::DOUBLE, 'y': (y1 + y2) / 2.0::DOUBLE}} ORDER BY box_id) AS e, list(box_id ORDER BY box_id) AS ids, least(4, count(*)) AS n FROM fx GROUP BY page_id),
+    s AS (SELECT *, list_transform(generate_series(0, n - 1), lambda j: e[CAST(round_even(CASE WHEN n = 1 THEN 0 ELSE j * ((len(e) - 1) / (n - 1)::DOUBLE) END, 0) AS INT) + 1]) AS c0 FROM p),
+    c AS (SELECT *, list_reduce(list_prepend(c0, list_transform(generate_series(1, 9), lambda i: c0)), lambda acc, unused: list_transform(acc, lambda a, j:
+        CASE WHEN len(list_filter(e, lambda p: {_OWN} = j)) > 0 THEN {{'x': list_avg(list_transform(list_filter(e, lambda p: {_OWN} = j), lambda p: p.x)), 'y': list_avg(list_transform(list_filter(e, lambda p: {_OWN} = j), lambda p: p.y))}} ELSE a END)) AS acc FROM s)
+    SELECT page_id, unnest(ids) AS box_id, unnest(list_transform(e, lambda p: CAST({_OWN} - 1 AS INT))) AS cluster FROM c""",
+)
 def _(spark, d):
     return summary.cluster_centers(boxes(spark, d))
 
@@ -426,7 +449,13 @@ def _(spark, d):
     return sequence.row_offsets(sequence.cell_rows(boxes(spark, d), 30))
 
 
-@query("quad_sort")
+@query(
+    "quad_sort",
+    f"""{WITH}, p AS (SELECT page_id, list({{'y1': y1, 'x1': x1, 'i': box_id}} ORDER BY y1, x1, box_id) AS e FROM fx GROUP BY page_id),
+    s AS (SELECT page_id, list_reduce(list_transform(e, lambda v: [v]), lambda acc, c: list_concat(list_append(acc[1:coalesce(list_max(list_filter(generate_series(1, len(acc)), lambda i: NOT (abs(c[1].y1 - acc[i].y1) < 30 AND c[1].x1 < acc[i].x1))), 0)], c[1]),
+        acc[coalesce(list_max(list_filter(generate_series(1, len(acc)), lambda i: NOT (abs(c[1].y1 - acc[i].y1) < 30 AND c[1].x1 < acc[i].x1))), 0) + 1:])) AS l FROM p)
+    SELECT page_id, unnest(list_transform(l, lambda v: v.i)) AS box_id, unnest(generate_series(1, len(l))) AS place FROM s""",
+)
 def _(spark, d):
     return sequence.quad_order(boxes(spark, d), 30)
 
@@ -497,7 +526,10 @@ def _(spark, d):
     return rows.select("page_id", "box_id", F.array_join(F.flatten(F.transform("word_boxes", lambda w: F.array(w.x1.cast("string"), w.x2.cast("string")))), ",").alias("edges"))
 
 
-@query("word_runs")
+_RUNS = r"[\x{4e00}-\x{9fff}]+|[a-zA-Z0-9][a-zA-Z0-9-]*(?:\.[0-9][a-zA-Z0-9-]*)*|[^a-zA-Z0-9\x{4e00}-\x{9fff}]+"
+
+
+@query("word_runs", f"SELECT doc_id, CAST(len(r) AS INT) AS n_runs, CAST(len(list_filter(r, lambda x: regexp_matches(x, '^[a-zA-Z0-9]'))) AS INT) AS n_words FROM (SELECT doc_id, regexp_extract_all(text, '{_RUNS}') AS r FROM documents)")
 def _(spark, d):
     rows = table(spark, d, "documents").select("doc_id", text.word_runs(F.col("text")).alias("runs"))
     return rows.select("doc_id", F.size("runs").alias("n_runs"), F.size(F.filter("runs", lambda r: r.rlike("^[a-zA-Z0-9]"))).alias("n_words"))
@@ -770,7 +802,24 @@ def _(spark, d):
     return _structure(spark, d).select("table_id", F.array_join(F.transform(starts, lambda x: x.cast("string")), ",").alias("starts"))
 
 
-@query("cells_to_html")
+def _grid_sql(axis: str) -> str:
+    """Grid lines of an axis, and the line nearest to each cell's edges."""
+    a, b = f"{axis}1", f"{axis}2"
+    nearest = "list_position(list_transform(g, lambda c: abs(c - {0})), list_min(list_transform(g, lambda c: abs(c - {0})))) - 1"
+    return f"""{axis}e AS (SELECT page_id, {a} AS pos FROM fx UNION SELECT page_id, {b} FROM fx),
+    {axis}s AS (SELECT page_id, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY page_id ORDER BY pos) <= 20 THEN 0 ELSE 1 END AS st FROM {axis}e),
+    {axis}k AS (SELECT page_id, pos, sum(st) OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS k FROM {axis}s),
+    {axis}g AS (SELECT page_id, list(c ORDER BY k) AS g FROM (SELECT page_id, k, avg(pos) AS c FROM {axis}k GROUP BY page_id, k) GROUP BY page_id),
+    {axis}p AS (SELECT page_id, box_id, {nearest.format(a)} AS {axis}a, {nearest.format(b)} AS {axis}b FROM fx JOIN {axis}g USING (page_id))"""
+
+
+@query(
+    "cells_to_html",
+    f"""{WITH}, {_grid_sql("x")}, {_grid_sql("y")},
+    cell AS (SELECT page_id, box_id, label, ya AS r, xa AS c, greatest(yb - ya, 1) AS rs, greatest(xb - xa, 1) AS cs FROM fx JOIN xp USING (page_id, box_id) JOIN yp USING (page_id, box_id) QUALIFY row_number() OVER (PARTITION BY page_id, ya, xa ORDER BY box_id) = 1),
+    tr AS (SELECT page_id, r, string_agg('<td' || CASE WHEN rs > 1 THEN ' rowspan="' || rs || '"' ELSE '' END || CASE WHEN cs > 1 THEN ' colspan="' || cs || '"' ELSE '' END || '>' || label || '</td>', '' ORDER BY c) AS tds, max(c + cs) AS w FROM cell GROUP BY page_id, r)
+    SELECT page_id, '<html><body><table>' || string_agg('<tr>' || tds || '</tr>', '' ORDER BY r) || '</table></body></html>' AS html, count(*) AS n_rows, CAST(max(w) AS INT) AS n_cols FROM tr GROUP BY page_id""",
+)
 def _(spark, d):
     return markup.cells_to_html(boxes(spark, d).withColumn("text", F.col("label")), 20)
 
@@ -787,9 +836,19 @@ def _(spark, d):
     return rows.select("user_id", F.nullif(F.array_join(markup.until_end(F.col("t"), "error"), " "), F.lit("")).alias("tokens"))
 
 
-@query("latex_normalise")
+_WORDY = r"\\(?:operatorname|mathrm|text|mathbf)\s?\*? \{.*?\}"
+_PARTED = r"(regexp_matches(acc, '[^\p{L}\\\s]$') AND regexp_matches(t, '^([^\p{L}]|[a-zA-Z])')) OR (regexp_matches(acc, '[a-zA-Z]$') AND regexp_matches(t, '^[^\p{L}]'))"
+
+
+@query(
+    "latex_normalise",
+    rf"""WITH a AS (SELECT item_id, replace(regexp_replace('\frac {{ a }} {{ b }} + \operatorname {{ a r g }} \ x  y _ 2 ' || '\text{{中文}} ' || text, '\\text\s*\{{([^{{}}]*[\x{{4e00}}-\x{{9fff}}][^{{}}]*)\}}', '\1', 'g'), '"', '') AS s FROM benchmark),
+    b AS (SELECT item_id, string_split_regex(s, '{_WORDY}') AS rest, list_prepend('', list_transform(regexp_extract_all(s, '{_WORDY}'), lambda m: replace(m, ' ', ''))) AS found FROM a),
+    c AS (SELECT item_id, regexp_replace(array_to_string(list_transform(rest, lambda r, i: found[i] || r), ''), '\s+', ' ', 'g') AS s FROM b)
+    SELECT item_id, list_reduce(string_split(s, ' '), lambda acc, t: acc || CASE WHEN {_PARTED} THEN '' ELSE ' ' END || t) AS latex FROM c""",
+)
 def _(spark, d):
-    return table(spark, d, "benchmark").select("item_id", text.tighten_latex(text.remove_cjk_text(F.concat(F.lit(r"\frac { a } { b } + \text{中文} "), F.col("text")))).alias("latex"))
+    return table(spark, d, "benchmark").select("item_id", text.tighten_latex(text.remove_cjk_text(F.concat(F.lit(r"\frac { a } { b } + \operatorname { a r g } \ x  y _ 2 \text{中文} "), F.col("text")))).alias("latex"))
 
 
 _LAST = "right(acc, 1)"
