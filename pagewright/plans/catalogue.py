@@ -935,8 +935,12 @@ SELECT b.page_id, string_agg(coalesce(t.content, b.label), chr(10) || chr(10) OR
 
 
 def queries() -> dict[str, Query]:
+    from pagewright.plans import chain_queries  # noqa: F401  adds its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from pagewright.plans import chain_queries  # noqa: F401
+
     return dict(_sql)

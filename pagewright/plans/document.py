@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import geometry as G
 from pagewright.functions import text
 from pagewright.operators import detect, match, models, order
+from pagewright.plans import chains
 
 PAGE = "page_id"
 
@@ -27,6 +28,7 @@ class Options:
     overlap: float = 0.5
     match: str = "small"
     strategy: str = "full_image"
+    least_score: float = 0.0
     use_table_recognition: bool = False
     use_formula_recognition: bool = False
     use_seal_recognition: bool = False
@@ -41,16 +43,15 @@ class Options:
             raise ValueError(f"unknown strategy {self.strategy}")
 
     def override(self, *settings: str) -> Options:
-        """Options changed by "name=value" strings; values are read as YAML scalars."""
-        import yaml
+        """Options changed by "name=value" or "name.key=value" strings; values are read as YAML scalars."""
+        from dataclasses import asdict
 
-        changes = {}
         for setting in settings:
-            name, sep, value = setting.partition("=")
-            if not sep or name not in self.__dataclass_fields__:
+            if setting.partition("=")[0].partition(".")[0] not in self.__dataclass_fields__ or "=" not in setting:
                 raise ValueError(f"not a setting: {setting}")
-            changes[name] = yaml.safe_load(value)
-        return replace(self, **changes)
+        changed = chains.override(asdict(self), *settings)
+        changed["thresholds"] = {int(k): v for k, v in changed["thresholds"].items()}
+        return Options(**changed)
 
     @classmethod
     def from_yaml(cls, path: str) -> Options:
@@ -86,9 +87,26 @@ def assemble(blocks: DataFrame, spans: DataFrame, options: Options = Options())
 
 
 def parse(blocks: DataFrame, spans: DataFrame, options: Options = Options()) -> DataFrame:
-    """Blocks with content and reading order: page_id, box_id, label, sides, block_content, order_index."""
+    """Blocks with content and reading order: page_id, box_id, label, sides, block_content, order_index.
+
+    The reading order uses the text lines of each block, and regions where ``blocks`` has region_id.
+    """
     rows = contents(detect.relabel(clean(blocks, options)), spans, options)
-    return rows.join(order.reading_order(rows), [PAGE, "box_id"])
+    return rows.join(_ordered(rows, spans, options), [PAGE, "box_id"])
+
+
+def _ordered(rows: DataFrame, spans: DataFrame, options: Options) -> DataFrame:
+    visual = ("image", "table", "formula", "seal", "chart")
+    bridge = match.match_blocks_to_spans(rows.where(~F.col("label").isin(*visual)), spans, options.match)
+    return order.reading_order(rows.join(chains.lines_of_blocks(spans, bridge), [PAGE, "box_id"], "left"))
+
+
+def parse_direct(blocks: DataFrame, spans: DataFrame, recogniser: models.Predictor, options: Options = Options()) -> DataFrame:
+    """As ``parse``, but text blocks are read one by one by a recogniser; the spans only give the lines."""
+    rows = chains.relabel_direct(clean(blocks, options))
+    read = recognise_blocks(rows, recogniser).select(PAGE, "box_id", F.col("text").alias("_text"))
+    rows = rows.join(read, [PAGE, "box_id"], "left").withColumn("block_content", F.coalesce("_text", "label")).drop("_text")
+    return rows.join(_ordered(rows, spans, options), [PAGE, "box_id"])
 
 
 def recognise_blocks(blocks: DataFrame, recogniser: models.Predictor) -> DataFrame:
@@ -97,6 +115,28 @@ def recognise_blocks(blocks: DataFrame, recogniser: models.Predictor) -> DataFra
     return models.predict(models.sorted_for_batches(wanted), recogniser, "page_id long, box_id long, text string, score double")
 
 
+#: What each pipeline needs besides options, and the chain it runs.
+CHAINS = {
+    "ocr": (("boxes", "recogniser"), lambda o, boxes, recogniser: chains.recognise_pages(boxes, recogniser, o.least_score)),
+    "document": (("blocks", "spans"), lambda o, blocks, spans: parse(blocks, spans, o)),
+    "tables": (("structures", "cells", "spans"), lambda o, structures, cells, spans: chains.assemble_tables(structures, cells, spans)),
+    "preprocessing": (("boxes", "angle", "width", "height"), lambda o, boxes, angle, width, height: chains.preprocess(boxes, angle, width, height)),
+    "formulas": (("boxes", "recogniser"), lambda o, boxes, recogniser: chains.recognise_regions(boxes, "formula", recogniser, "text")),
+    "seals": (("boxes", "recogniser"), lambda o, boxes, recogniser: chains.recognise_regions(boxes, "seal", recogniser, "text")),
+    "classification": (("rows", "scores", "labels", "k", "key"), lambda o, rows, scores, labels, k, key: chains.classify(rows, scores, labels, k, key)),
+    "universal": (("blocks", "spans", "recogniser"), lambda o, blocks, spans, recogniser: parse_direct(blocks, spans, recogniser, o) if o.strategy == "direct_block" else parse(blocks, spans, o)),
+}
+
+
+def run(options: Options, **inputs) -> DataFrame:
+    """Runs the chain that ``options.pipeline`` names; raises where an input that it needs is missing."""
+    needed, chain = CHAINS[options.pipeline]
+    missing = [n for n in needed if inputs.get(n) is None and not (n == "recogniser" and options.strategy == "full_image" and options.pipeline == "universal")]
+    if missing:
+        raise ValueError(f"pipeline {options.pipeline} needs {', '.join(missing)}")
+    return chain(options, **{n: inputs.get(n) for n in needed})
+
+
 def to_json(blocks: DataFrame, settings: dict[str, bool] | None = None) -> DataFrame:
     """(page_id, json): a page's result; parts whose setting is off are left out."""
     b = F.struct(F.col("label").alias("block_label"), F.col("block_content").alias("block_content"), F.array(*G.SIDES).alias("block_bbox"))
