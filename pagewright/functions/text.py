@@ -13,7 +13,20 @@ NUMBERING = (
     r"|(?:I|II|III|IV|V|VI|VII|VIII|IX|X)\.?))(\s*)(.*)$"
 )
 NON_BREAKING = (",", "，", "、", ";", "；", ":", "：", "-", "'", '"', "“")
-LANGUAGE_MODELS = {"en": "en", "uk": "eslav", "ru": "eslav", "be": "eslav", "de": "latin", "fr": "latin", "es": "latin", "ch": "ch", "japan": "ch", "korean": "korean"}
+# fixed values: prefix and size of the recogniser of a language or script
+LANGUAGE_MODELS = {
+    "uk": ("eslav_", "mobile"),
+    "ru": ("eslav_", "mobile"),
+    "be": ("eslav_", "mobile"),
+    "en": ("en_", "mobile"),
+    "ko": ("korean_", "mobile"),
+    "el": ("el_", "mobile"),
+    "th": ("th_", "mobile"),
+    "latin": ("latin_", "mobile"),
+    "cyrillic": ("cyrillic_", "mobile"),
+    "ch": ("", "server"),
+    "zh": ("", "server"),
+}
 
 
 def is_english_letter(c: Column) -> Column:
@@ -145,9 +158,10 @@ def join_lines(lines: Column, label: Column) -> Column:
     return F.aggregate(lines, F.lit(""), step)
 
 
-def model_of_language(lang: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for kv in LANGUAGE_MODELS.items() for x in kv])
-    return F.concat(F.coalesce(known[lang], F.lit("latin")), F.lit("_rec"))
+def model_of_language(lang: Column, family: str, default: str | None = None) -> Column:
+    """Name of the recogniser of a family for a language, ``default`` for languages without one of their own."""
+    known = F.create_map(*[F.lit(x) for k, (prefix, size) in LANGUAGE_MODELS.items() for x in (k, f"{prefix}{family}_{size}_rec")])
+    return F.coalesce(known[lang], F.lit(default).cast("string"))
 
 
 def eslav_name(lang: Column, name: Column) -> Column:

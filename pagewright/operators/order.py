@@ -13,23 +13,54 @@ PAGE = "page_id"
 
 #: Groups of labels that are ordered differently.
 ORDER_GROUPS = {
-    "doc_title": ("doc_title",),
-    "paragraph_title": ("paragraph_title", "abstract_title", "content_title", "reference_title"),
-    "vision": ("image", "table", "chart", "figure", "seal"),
-    "vision_title": ("figure_title", "table_title", "chart_title"),
-    "header": ("header", "header_image"),
-    "footer": ("footer", "footer_image", "footnote"),
-    "unordered": ("number", "formula_number", "aside_text", "seal"),
+    "doc_title": reading.TITLES,
+    "paragraph_title": reading.HEADINGS,
+    "vision": reading.VISION,
+    "vision_title": reading.VISION_TITLES,
+    "header": reading.HEADERS,
+    "footer": reading.FOOTERS,
+    "unordered": reading.UNORDERED,
 }
 
-
-#: Colours that blocks are drawn in, by the group they are ordered with.
-COLOURS = {"image": "0,191,255", "table": "255,160,122", "formula": "147,112,219", "paragraph_title": "255,99,71", "doc_title": "255,69,0"}
+# fixed values: red, green, blue and opacity that blocks are drawn with, by label and by the group they are ordered with
+LABEL_COLOURS = {
+    "paragraph_title": "102,102,255,100",
+    "doc_title": "255,248,220,100",
+    "table_title": "255,255,102,100",
+    "figure_title": "102,178,255,100",
+    "chart_title": "221,160,221,100",
+    "vision_footnote": "144,238,144,100",
+    "text": "153,0,76,100",
+    "formula": "0,255,0,100",
+    "abstract": "255,239,213,100",
+    "content": "40,169,92,100",
+    "seal": "158,158,158,100",
+    "table": "204,204,0,100",
+    "image": "153,255,51,100",
+    "figure": "153,255,51,100",
+    "chart": "216,191,216,100",
+    "reference": "229,255,204,100",
+    "algorithm": "255,250,240,100",
+}
+GROUP_COLOURS = {
+    "doc_title": "255,248,220,100",
+    "doc_title_text": "255,239,213,100",
+    "paragraph_title": "102,102,255,100",
+    "sub_paragraph_title": "102,178,255,100",
+    "vision": "153,255,51,100",
+    "vision_title": "144,238,144,100",
+    "vision_footnote": "144,238,144,100",
+    "normal_text": "153,0,76,100",
+    "cross_layout": "53,218,207,100",
+    "cross_reference": "221,160,221,100",
+}
+OTHER_COLOUR = "158,158,158,100"
 
 
-def colour(label: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for kv in COLOURS.items() for x in kv])
-    return F.coalesce(known[label], F.lit("144,238,144"))
+def colour(name: Column, of_group: bool = False) -> Column:
+    """Colour of a label, or of an order group; grey for all others."""
+    known = F.create_map(*[F.lit(x) for kv in (GROUP_COLOURS if of_group else LABEL_COLOURS).items() for x in kv])
+    return F.coalesce(known[name], F.lit(OTHER_COLOUR))
 
 
 def order_label(label: Column) -> Column:

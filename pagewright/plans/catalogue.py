@@ -166,9 +166,9 @@ def _(spark, d):
     return boxes(spark, d).select("page_id", "box_id", F.round(p.x, 4).alias("x"), F.round(p.y, 4).alias("y"))
 
 
-@query("label_colours", f"{WITH} SELECT page_id, box_id, CASE label WHEN 'image' THEN '0,191,255' WHEN 'table' THEN '255,160,122' WHEN 'formula' THEN '147,112,219' WHEN 'paragraph_title' THEN '255,99,71' ELSE '144,238,144' END AS rgb FROM fx")
+@query("label_colours", f"{WITH} SELECT page_id, box_id, CASE label WHEN 'text' THEN '153,0,76,100' WHEN 'image' THEN '153,255,51,100' WHEN 'table' THEN '204,204,0,100' WHEN 'formula' THEN '0,255,0,100' WHEN 'paragraph_title' THEN '102,102,255,100' ELSE '158,158,158,100' END AS rgba, CASE label WHEN 'image' THEN '153,255,51,100' WHEN 'table' THEN '153,255,51,100' WHEN 'paragraph_title' THEN '102,102,255,100' WHEN 'footnote' THEN '158,158,158,100' ELSE '153,0,76,100' END AS group_rgba FROM fx")
 def _(spark, d):
-    return boxes(spark, d).select("page_id", "box_id", order.colour(F.col("label")).alias("rgb"))
+    return boxes(spark, d).select("page_id", "box_id", order.colour(F.col("label")).alias("rgba"), order.colour(order.order_label(F.col("label")), of_group=True).alias("group_rgba"))
 
 
 # --- joins -----------------------------------------------------------------------------------
@@ -892,9 +892,9 @@ def _(spark, d):
     return rows.select("doc_id", models.route(F.col("quality"), F.col("n_chars"), 0.5, 500).alias("route"))
 
 
-@query("lang_model", "SELECT doc_id, CASE lang WHEN 'en' THEN 'en' ELSE 'latin' END || '_rec' AS model FROM documents")
+@query("lang_model", "SELECT doc_id, CASE lang WHEN 'en' THEN 'en_v5_mobile_rec' ELSE 'latin_v5_mobile_rec' END AS model, CASE lang WHEN 'en' THEN 'eslav_v5_mobile_rec' WHEN 'de' THEN 'v5_server_rec' END AS other FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.model_of_language(F.col("lang")).alias("model"))
+    return table(spark, d, "documents").select("doc_id", text.model_of_language(F.col("lang"), "v5", "latin_v5_mobile_rec").alias("model"), text.model_of_language(F.when(F.col("lang") == "en", "uk").when(F.col("lang") == "de", "zh"), "v5").alias("other"))
 
 
 @query("props_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,13 +13,13 @@ PAGE_SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructFiel
 
 
 def files(spark: SparkSession, path: str, suffixes: tuple[str, ...] = IMAGE_SUFFIXES, content: bool = True) -> DataFrame:
-    """Files under a folder whose lower-cased suffix is known: path, length, content.  An empty selection is an error."""
+    """Files under a folder whose lower-cased suffix is known, in order of their path: path, length, content.  An empty selection is an error."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     rows = rows.where(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*suffixes))
     rows = rows.select("path", "length", "content") if content else rows.select("path", "length")
     if rows.select("path").isEmpty():
         raise FileNotFoundError(f"no {'/'.join(suffixes)} file under {path}")
-    return rows
+    return rows.orderBy("path")
 
 
 def batched(rows: DataFrame, size: int) -> DataFrame:
@@ -32,8 +34,40 @@ def images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path).select("image.*")
 
 
-def unsupported(path: str) -> DataFrame:
-    raise NotImplementedError(f"no reader for {path.rsplit('.', 1)[-1]} files")
+#: What reads files of a suffix.
+BY_SUFFIX = dict.fromkeys(IMAGE_SUFFIXES, "images") | {"txt": "whole_text", "md": "whole_text", "csv": "csv"}
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """A file or folder by the reader of its suffix (folders are read as images)."""
+    suffix = path.rsplit("/", 1)[-1].rpartition(".")[2].lower() if "." in path.rsplit("/", 1)[-1] else "jpg"
+    if suffix not in BY_SUFFIX:
+        raise ValueError(f"no reader for {suffix} files; known: {', '.join(sorted(BY_SUFFIX))}")
+    return globals()[BY_SUFFIX[suffix]](spark, path)
+
+
+def channels(data: str, order: str) -> Column:
+    """Bytes of BGR image data in another order: BGR, RGB or GRAY (0.114 B + 0.587 G + 0.299 R, rounded)."""
+    if order == "BGR":
+        return F.col(data)
+
+    @F.arrow_udf("binary")
+    def turned(pixels: pa.Array) -> pa.Array:
+        out = []
+        for raw in pixels.to_pylist():
+            a = None if raw is None else np.frombuffer(raw, np.uint8).reshape(-1, 3)
+            out.append(None if a is None else (a[:, ::-1] if order == "RGB" else np.rint(a @ np.array([0.114, 0.587, 0.299])).astype(np.uint8)).tobytes())
+        return pa.array(out, pa.binary())
+
+    if order not in ("RGB", "GRAY"):
+        raise ValueError(f"unknown order of channels: {order}")
+    return turned(data)
+
+
+def with_scale(images: DataFrame, height: int, width: int) -> DataFrame:
+    """Images with what a detector needs to know of them: img_size, ori_img_size and scale_factors (x, y) for a target size."""
+    size = F.array(F.col("width"), F.col("height"))
+    return images.withColumns({"ori_img_size": size, "img_size": F.array(F.lit(width), F.lit(height)), "scale_factors": F.array(F.lit(width) / F.col("width"), F.lit(height) / F.col("height"))})
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
@@ -57,4 +91,4 @@ def page_results(spark: SparkSession, path: str) -> DataFrame:
     """Page results written by ``writers.json_results``, one row a page."""
     block = "array<struct<block_label:string,block_content:string,block_bbox:array<double>>>"
     schema = f"input_path string, page_index int, parsing_res_list {block}"
-    return spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("r")).select("r.*")
+    return spark.read.text(path).select(F.from_json("value", schema).alias("r")).select("r.*")

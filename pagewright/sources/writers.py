@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import markup
@@ -17,6 +17,9 @@ class Writer(Protocol):
 
 _writers: dict[str, Writer] = {}
 
+#: Documents in one written file, at most.
+ROWS_PER_FILE = 10_000
+
 
 def writer(name: str) -> Callable[[Writer], Writer]:
     def add(f: Writer) -> Writer:
@@ -26,22 +29,34 @@ def writer(name: str) -> Callable[[Writer], Writer]:
     return add
 
 
+def _documents(df: DataFrame, name: Column, content: str, path: str) -> None:
+    """Rows (path, content), a document each, in files of a bounded number of rows: no folder or file a document."""
+    rows = df.select(name.alias("path"), F.col(content).alias("content"))
+    rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+
+
 @writer("json")
 def json_results(df: DataFrame, path: str) -> None:
-    """df: (page_id, json), as made by ``plans.document.to_json``."""
-    df.select("page_id", F.col("json").alias("value")).write.mode("overwrite").partitionBy("page_id").text(path)
+    """df: (page_id, json), as made by ``plans.document.to_json``; a line a page."""
+    df.select(F.col("json").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
 
 
 @writer("markdown")
 def markdown(df: DataFrame, path: str) -> None:
     """df: (page_id, markdown)."""
-    df.select("page_id", F.col("markdown").alias("value")).write.mode("overwrite").partitionBy("page_id").text(path)
+    _documents(df, F.concat(F.lit("page_"), "page_id", F.lit(".md")), "markdown", path)
 
 
 @writer("html")
 def html(df: DataFrame, path: str) -> None:
-    """df: (table_region_id, pred_html): a folder a table."""
-    df.select("table_region_id", F.col("pred_html").alias("value")).write.mode("overwrite").partitionBy("table_region_id").text(path)
+    """df: (table_region_id, pred_html): a row a table."""
+    _documents(df, F.concat(F.lit("table_"), "table_region_id", F.lit(".html")), "pred_html", path)
+
+
+@writer("yaml")
+def yaml_rows(df: DataFrame, path: str) -> None:
+    """Rows as a YAML list, each in flow style (JSON is YAML)."""
+    df.select(F.concat(F.lit("- "), F.to_json(F.struct("*"))).alias("value")).write.mode("overwrite").text(path)
 
 
 @writer("cells")

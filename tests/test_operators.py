@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.functions import markup, pixels, text
-from pagewright.operators import detect, match, models, order, sequence, summary
+from pagewright.operators import detect, match, models, order, reading, sequence, summary
 from pagewright.plans import document
 from pagewright.plans.fixtures import blocks, boxes, spans
 from pagewright.sources import readers, writers
@@ -65,8 +65,8 @@ def test_titles(spark):
 def test_xy_cut_orders_two_columns():
     left, right = [(0, k * 20, 90, k * 20 + 15) for k in range(4)], [(110, k * 20 + 5, 200, k * 20 + 18) for k in range(4)]
     b = np.array(left + right, float)
-    assert order.xy_cut(b, 0) == list(range(8))
-    assert order.xy_cut(np.zeros((0, 4))) == []
+    assert reading.recursive_cut(b, 0) == list(range(8))
+    assert reading.recursive_cut(np.zeros((0, 4)), 0) == []
 
 
 def test_reading_order_is_a_permutation(spark, sf_dir):
@@ -139,7 +139,8 @@ def test_json_and_markdown_round_trip(spark, sf_dir, tmp_path):
     writers.save_all({"json": document.to_json(parsed), "markdown": document.to_markdown(parsed)}, str(tmp_path))
     back = readers.page_results(spark, f"{tmp_path}/json")
     assert back.select(F.sum(F.size("parsing_res_list"))).first()[0] == parsed.count()
-    assert readers.whole_text(spark, f"{tmp_path}/markdown").count() > 0
+    assert {r.path for r in spark.read.parquet(f"{tmp_path}/markdown").collect()} == {f"page_{r.page_id}.md" for r in document.to_markdown(parsed).collect()}
+    assert len([p for p in (tmp_path / "json").rglob("*.txt")]) <= 8  # no file a page
 
 
 def test_files_source(spark, tmp_path):
@@ -176,3 +177,23 @@ def test_pixels(spark):
     df = spark.createDataFrame([(1, bytearray(a.tobytes()), 2, 4, 3)], "page_id long, data binary, height int, width int, channels int")
     got = pixels.apply(df, lambda x: pixels.crop(x, 1, 0, 3, 2)).first()
     assert (got.height, got.width) == (2, 2) and bytes(got.data) == a[:, 1:3].tobytes()
+
+
+def test_read_by_suffix_and_channels(spark, tmp_path):
+    import struct
+
+    for k in (2, 0, 1):  # a 24-bit bitmap of 4 x 2 pixels, blue first
+        pixels = bytes([30, 20, 10 * k]) * 8
+        (tmp_path / f"b{k}.bmp").write_bytes(b"BM" + struct.pack("<IHHI", 54 + 24, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 4, 2, 1, 24, 0, 24, 2835, 2835, 0, 0) + pixels)
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.md").write_text("# x\ny")
+    assert [r.path.rsplit("/", 1)[-1] for r in readers.files(spark, str(tmp_path), content=False).collect()] == ["b0.bmp", "b1.bmp", "b2.bmp"]
+    assert readers.read(spark, str(tmp_path / "t" / "a.md")).first().value == "# x\ny"
+    image = readers.read(spark, str(tmp_path / "b2.bmp"))
+    row = image.select("data", readers.channels("data", "RGB").alias("rgb"), readers.channels("data", "GRAY").alias("gray")).first()
+    assert bytes(row.data[:3]) == bytes([30, 20, 20]) and bytes(row.rgb[:3]) == bytes([20, 20, 30]) and row.gray[0] == round(0.114 * 30 + 0.587 * 20 + 0.299 * 20) and len(row.gray) == 8
+    scaled = readers.with_scale(image, 8, 8).first()
+    assert (scaled.ori_img_size, scaled.img_size, scaled.scale_factors) == ([4, 2], [8, 8], [2.0, 4.0])
+    for bad in (lambda: readers.read(spark, "x.pdf"), lambda: readers.channels("data", "CMYK")):
+        with pytest.raises(ValueError):
+            bad()
