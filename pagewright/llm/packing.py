@@ -2,8 +2,10 @@
 
 Several sequence lengths (capacities) are permitted at once.  Pieces are placed longest
 first.  A piece goes to the open bin whose free room is least among those that hold it; if
-none does, a bin is opened whose capacity costs least per token that the pieces still to
-come can put in it.  At the end each bin is downsized to the smallest permitted capacity that holds its contents.
+none does, a bin is opened.  For that, every permitted capacity that holds the piece is filled
+on trial from the lengths still to come, longest first, and the one whose downsized bin costs
+least per token it holds is opened: which capacity pays depends on what is left to fill it.
+At the end each bin is downsized to the smallest permitted capacity that holds its contents.
 
 Only (doc_id, length) rows are packed, never texts, and packing is independent in hash
 partitions of a bounded number of tokens: the waste of a partition is at most that of its last
@@ -37,31 +39,57 @@ def cost(capacity: float, overhead: float = OVERHEAD, span: float = SPAN) -> flo
     return capacity + capacity * capacity / span + overhead
 
 
-def least_cost_capacity(piece: int, to_place: int, capacities: Sequence[int], overhead: float = OVERHEAD, span: float = SPAN) -> int:
-    """The capacity (at least ``piece``) with the least cost per token that it can be filled with.
+class Left:
+    """Lengths still to be placed: how often each occurs, and which occur, as bits."""
+
+    def __init__(self, lengths: np.ndarray):
+        self.counts = np.bincount(lengths).tolist() if len(lengths) else [0]
+        self.bits = 0
+        for n in np.unique(lengths).tolist():
+            self.bits |= 1 << n
+
+    def take(self, n: int) -> None:
+        self.counts[n] -= 1
+        if not self.counts[n]:
+            self.bits &= ~(1 << n)
+
+    def fill(self, room: int) -> int:
+        """Tokens that fill a room, longest pieces first; nothing is taken."""
+        used = 0
+        while room > 0 and (n := (self.bits & ((1 << room + 1) - 1)).bit_length() - 1) > 0:
+            k = min(self.counts[n], room // n)
+            used += k * n
+            room = min(room - k * n, n - 1)  # shorter ones from here on
+        return used
 
-    ``to_place`` is the number of tokens still to be placed, the piece included.  Ties go to the larger.
-    """
-    fits = [c for c in capacities if c >= piece]
-    return min(fits, key=lambda c: (cost(c, overhead, span) / min(c, to_place), -c))
+
+def least_cost_capacity(piece: int, left: Left, capacities: Sequence[int], overhead: float = OVERHEAD, span: float = SPAN) -> int:
+    """The capacity (at least ``piece``) whose bin, filled from ``left`` (without the piece) and downsized, costs least per token.  Ties go to the larger."""
+
+    def per_token(c: int) -> float:
+        used = piece + left.fill(c - piece)
+        return cost(min(s for s in capacities if s >= used), overhead, span) / used
+
+    return min((c for c in capacities if c >= piece), key=lambda c: (per_token(c), -c))
 
 
 def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhead: float = OVERHEAD, span: float = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packs pieces of 1 .. max(capacities) tokens: (bin, offset) of each piece and the capacity of each bin.
 
-    Best fit in O(1) per piece: bins are listed by free room, and an integer bit mask says which rooms occur.
+    Best fit in O(1) per piece: bins are listed by free room, and an integer bit mask says
+    which rooms occur.  Pieces of one length keep their order; of bins with the same room the last used goes first.
     """
     capacities = sorted(set(capacities))
     lengths = np.asarray(lengths, np.int64)
     order = np.argsort(-lengths, kind="stable")
-    left = int(lengths.sum())
+    left = Left(lengths)
     by_room: list[list[int]] = [[] for _ in range(capacities[-1] + 1)]
     mask = 0
     used: list[int] = []
-    size: list[int] = []
     bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     for k in order.tolist():
         n = int(lengths[k])
+        left.take(n)
         fitting = mask >> n
         if fitting:
             room = n + (fitting & -fitting).bit_length() - 1
@@ -72,10 +100,8 @@ def pack(lengths: Sequence[int], capacities: Sequence[int] = CAPACITIES, overhea
             b = len(used)
             room = least_cost_capacity(n, left, capacities, overhead, span)
             used.append(0)
-            size.append(room)
         bins[k], offsets[k] = b, used[b]
         used[b] += n
-        left -= n
         room -= n
         if room:
             by_room[room].append(b)
@@ -133,8 +159,12 @@ def best_fit(sized: DataFrame, capacities: Sequence[int] = CAPACITIES, overhead:
     Returns doc_id, piece (from 0), piece_start, n_tokens, bin_id, bin_offset, bin_capacity,
     bin_used.  Documents longer than the largest capacity are cut into full pieces and a rest.
     Null and zero lengths keep one row without a bin; repeated rows are packed each; null ids
-    are allowed.  Groups are hash partitions of rows: their number is the row count over
-    ``group_rows``, so no key, however frequent, makes a large group.
+    are allowed; other columns are ignored; an empty table gives no rows.  Groups are hash
+    partitions of rows: their number is the row count over ``group_rows``, so no key, however
+    frequent, makes a large group.  In a group rows are packed in order of length, then
+    doc_id.  Which rows share a group follows from doc_id and, so that repeated ids spread,
+    from the file the row is read from: the bins of several groups may differ between layouts
+    of the same rows, a single group's don't.
     """
     rows = slim(sized, "doc_id", "n_tokens").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("n_tokens").cast("long").alias("n_tokens"))
     groups = max(1, -(-rows.select(F.count(F.lit(1))).first()[0] // group_rows))
@@ -158,7 +188,11 @@ def _lengths(path: str | None, extra: int, release: bool, batches: Iterator[pa.R
 
 
 def token_lengths(documents: DataFrame, path: str | None = None, extra: int = 1, release: bool = False) -> DataFrame:
-    """(doc_id, n_tokens) of whole texts with the tokenizer at ``path``; ``extra`` for an end id.  Texts without tokens have 0.
+    """(doc_id, n_tokens) of whole texts with the tokenizer at ``path``; ``extra`` for an end id.
+
+    Null and empty texts, and texts without tokens, have 0.  Repeated rows, null and repeated
+    ids have a row each; texts of any length are counted whole; other columns are ignored; an
+    empty table gives no rows.
 
     With ``release`` a worker forgets the words it has met at a task's end: slower, but it leaves memory to later stages.
     """
