@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import markup
+from pagewright.sources import pictures
 
 
 class Writer(Protocol):
@@ -65,6 +66,14 @@ def cells(df: DataFrame, path: str) -> None:
     markup.grid(df).write.mode("overwrite").option("header", True).csv(path)
 
 
+@writer("xlsx")
+def xlsx(df: DataFrame, path: str) -> None:
+    """df: (page_id, html), a row a table: a workbook a page, a sheet a table in order of ``table_no`` where there is one; rows (path, content)."""
+    number = F.col("table_no") if "table_no" in df.columns else F.lit(0)
+    books = df.groupBy("page_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(number.alias("n"), "html"))), lambda t: t.html).alias("tables"))
+    binary(books.select(F.concat(F.lit("page_"), "page_id", F.lit(".xlsx")).alias("path"), pictures.workbooks(F.col("tables")).alias("content")), path)
+
+
 @writer("text")
 def plain(df: DataFrame, path: str) -> None:
     df.select(F.col("text").alias("value")).write.mode("overwrite").text(path)
@@ -83,7 +92,7 @@ def parquet(df: DataFrame, path: str) -> None:
 @writer("binary")
 def binary(df: DataFrame, path: str) -> None:
     """df: (path, content): crops and overlays, kept as rows so that any file system takes them."""
-    df.select("path", "content").write.mode("overwrite").parquet(path)
+    df.select("path", "content").write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 def save(df: DataFrame, path: str, kind: str) -> None:
