@@ -4,9 +4,12 @@ Markup is stripped into lines, one per block-level run of text.  Every line know
 of its text counts: none inside menus, headers, footers, sidebars, notices, adverts, forms
 and comments, none inside links.  The counts are summed over sliding windows of ``WINDOW``
 lines.  A surge point is a line where the sum rises above the threshold, a dive point one
-where it falls to zero; the text between them is kept.  Where the page marks its article
-(``article`` or ``main``), lines outside it count nothing and the threshold is zero, so
-that no paragraph, however short, is lost.
+where it falls to zero; the text between them is kept, short lines and lists of links too.
+
+Where the page marks its article (``article`` or ``main``), the marks set the threshold: zero
+for lines inside, so that no paragraph, however short, is lost; for lines outside the largest
+sum inside (``OUTSIDE`` at least), so that a text next to a mere teaser is found and the rest
+of the page is not.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pagewright.llm.shared import slim
 #: Lines of a window, and the characters above which a window counts as text on pages without an article.
 WINDOW = 3
 THRESHOLD = 80
+#: The least threshold outside a marked article.
+OUTSIDE = 1_000
 
 _BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html"
@@ -158,39 +163,48 @@ def lines_of(page: str) -> list[Line]:
     return found
 
 
+def window_sums(counts: list[int], window: int = WINDOW) -> list[int]:
+    """Sums of the counts of each line and the ``window`` - 1 lines after it."""
+    sums, total = [0] * len(counts), 0
+    for k in range(len(counts) - 1, -1, -1):
+        total += counts[k] - (counts[k + window] if k + window < len(counts) else 0)
+        sums[k] = total
+    return sums
+
+
 def surge_and_dive(counts: list[int], window: int = WINDOW, threshold: int = 0) -> list[tuple[int, int]]:
     """Ranges [surge, dive) of lines: a window's sum rises above the threshold, and later falls to zero."""
-    n = len(counts)
-    sums, total = [0] * n, 0
-    for k in range(n - 1, -1, -1):  # sums[k]: lines k .. k + window - 1
-        total += counts[k] - (counts[k + window] if k + window < n else 0)
-        sums[k] = total
     ranges, start = [], -1
-    for k in range(n):
-        if start < 0 and counts[k] and sums[k] > threshold:
+    for k, total in enumerate(window_sums(counts, window)):
+        if start < 0 and counts[k] and total > threshold:
             start = k
-        elif start >= 0 and sums[k] == 0:
+        elif start >= 0 and total == 0:
             ranges.append((start, k))
             start = -1
     if start >= 0:
-        ranges.append((start, n))
+        ranges.append((start, len(counts)))
     return ranges
 
 
-def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
+def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD, outside: int = OUTSIDE) -> str:
     """The article's text; empty for null, empty and textless pages."""
     if not page:
         return ""
     lines = lines_of(page)
-    marked = any(line.inside and not line.out for line in lines)
-    kept = [not line.out and (line.inside or not marked) for line in lines]
-    if marked:
-        counts, threshold = [len(line.text) if k else 0 for line, k in zip(lines, kept, strict=True)], 0
-    else:  # mostly links: a menu without a name
-        counts = [line.counted if k and 2 * line.counted > len(line.text) else 0 for line, k in zip(lines, kept, strict=True)]
-        if sum(counts) <= threshold:
-            threshold = 0
-    return " ".join(lines[k].text for s, e in surge_and_dive(counts, window, threshold) for k in range(s, e) if kept[k] and (marked or counts[k]))
+    article = [line.inside and not line.out for line in lines]
+    within = [len(line.text) if a else 0 for line, a in zip(lines, article, strict=True)]
+    # mostly links: a menu without a name
+    beside = [line.counted if not line.out and not a and 2 * line.counted > len(line.text) else 0 for line, a in zip(lines, article, strict=True)]
+    if any(within):
+        threshold = max(outside, *window_sums(within, window))
+    elif sum(beside) <= threshold:
+        threshold = 0
+    kept = [False] * len(lines)
+    for s, e in surge_and_dive(within, window):
+        kept[s:e] = [k or a for k, a in zip(kept[s:e], article[s:e], strict=True)]
+    for s, e in surge_and_dive(beside, window, threshold):
+        kept[s:e] = [True] * (e - s)
+    return " ".join(line.text for line, k in zip(lines, kept, strict=True) if k and not line.out)
 
 
 def _pages(window: int, threshold: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,8 +218,9 @@ def _pages(window: int, threshold: int, batches: Iterator[pa.RecordBatch]) -> It
 def extract(pages: DataFrame, window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every row, without a shuffle.
 
-    Null, empty and textless pages give an empty text; repeated rows are each extracted; other
-    columns are ignored.
+    Null, empty and textless pages give an empty text; repeated rows and rows that share an id
+    are each extracted; very long pages are read whole; other columns are ignored; an empty
+    table gives no rows.
     """
     rows = slim(pages, "page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
     return rows.mapInArrow(lambda b: _pages(window, threshold, b), "page_id long, url string, text string, n_chars long")
