@@ -85,26 +85,44 @@ def table_body(html: Column) -> Column:
     return F.concat(F.lit("\n"), html)
 
 
-def first_line_heading(text: Column, headings: tuple[str, ...], splitter: str = "\n", prefix: str = "## ") -> Column:
-    """The first line that isn't blank becomes a heading if it is one of ``headings``."""
+def first_line_heading(text: Column, headings: tuple[str, ...], splitter: str = "\n", prefix: str = "## ", suffix: str = "") -> Column:
+    """The first part that isn't blank becomes a heading if it is one of ``headings``."""
     lines = F.split(text, splitter)
     # place of the first line that isn't blank
     at = F.array_position(F.transform(lines, lambda line: F.trim(line) != ""), F.lit(True))
-    return F.array_join(F.transform(lines, lambda line, i: F.when((i + 1 == at) & F.lower(line).isin(*headings), F.concat(F.lit(prefix), line)).otherwise(line)), splitter)
+    return F.array_join(F.transform(lines, lambda line, i: F.when((i + 1 == at) & F.lower(line).isin(*headings), F.concat(F.lit(prefix), line, F.lit(suffix))).otherwise(line)), splitter)
 
 
-def block_markdown(label: Column, content: Column, b: Column | None = None) -> Column:
-    """Markdown of a block by its label; null for labels that are left out (numbers, headers, footers and the like)."""
+def block_markdown(label: Column, content: Column, b: Column | None = None, page_width: Column | None = None, pretty: bool = False, charts: bool = False, seals: bool = False, tables: bool = True, formulas: bool = True) -> Column:
+    """Markdown of a block by its label; null for labels that are left out (numbers, headers, footers, footnotes and the like).
+
+    ``pretty``: titles of pictures, pictures (with ``page_width`` scaled to it) and tables as
+    centred HTML.  What a switch leaves unrecognised (charts, seals, tables, formulas) is a
+    picture.
+    """
     path = image_path(label, b) if b is not None else F.lit("")
+    plain = centered(content) if pretty else content
+    picture = image_tag(path, b.x2 - b.x1, page_width) if pretty and page_width is not None and b is not None else image_tag(path)
+    picture = centered(picture) if pretty else picture
+    if tables:
+        table = F.concat(F.lit("\n"), F.replace(plain, F.lit("<table>"), F.lit('<table border="1">'))) if pretty else table_body(F.concat(F.lit("\n"), content))
+    else:
+        table = picture
+    paragraphs = F.replace(F.replace(content, F.lit("\n\n"), F.lit("\n")), F.lit("\n"), F.lit("\n\n"))
     return (
-        F.when(label.isin("paragraph_title", "doc_title", "abstract_title", "reference_title", "content_title"), F.when(label == "doc_title", one_line(F.concat(F.lit("# "), content))).otherwise(title(content)))
-        .when(label.isin("table_title", "figure_title", "chart_title"), centered(content))
-        .when(label.isin("text", "footnote", "vertical_text", "algorithm", "reference", "aside"), F.replace(F.replace(content, F.lit("\n\n"), F.lit("\n")), F.lit("\n"), F.lit("\n\n")))
-        .when(label == "abstract", first_line_heading(content, ("摘要", "abstract")))
+        F.when(label.isin("paragraph_title", "abstract_title", "reference_title", "content_title"), title(content))
+        .when(label == "doc_title", one_line(F.concat(F.lit("# "), content)))
+        .when(label.isin("table_title", "figure_title", "chart_title"), plain)
+        .when(label.isin("text", "vision_footnote"), paragraphs)
+        .when(label == "abstract", first_line_heading(content, ("摘要", "abstract"), " ", suffix="\n"))
+        .when(label == "reference", first_line_heading(content, ("参考文献", "references")))
         .when(label == "content", F.replace(F.replace(content, F.lit("-\n"), F.lit("  \n")), F.lit("\n"), F.lit("  \n")))
-        .when(label.isin("image", "chart", "seal"), image_tag(path))
-        .when(label == "formula", F.concat(F.lit("$$"), content, F.lit("$$")))
-        .when(label == "table", table_body(content))
+        .when(label == "algorithm", F.regexp_replace(content, r"^\n+|\n+$", ""))
+        .when(label == "image", picture)
+        .when(label == "chart", chart_table(content) if charts else picture)
+        .when(label == "seal", F.concat(picture, F.lit("\n"), plain) if seals else picture)
+        .when(label == "formula", F.concat(F.lit("$$"), content, F.lit("$$")) if formulas else picture)
+        .when(label == "table", table)
     )
 
 

@@ -728,7 +728,7 @@ def _(spark, d):
 
 @query(
     "markdown_blocks",
-    f"""{WITH} SELECT page_id, box_id, CASE label WHEN 'paragraph_title' THEN '## ' || c WHEN 'text' THEN c WHEN 'footnote' THEN c WHEN 'image' THEN '![](imgs/img_in_image_box_' || x1 || '_' || y1 || '_' || x2 || '_' || y2 || '.jpg)' WHEN 'formula' THEN '$$' || c || '$$' WHEN 'table' THEN chr(10) || c END AS md
+    f"""{WITH} SELECT page_id, box_id, CASE label WHEN 'paragraph_title' THEN '## ' || c WHEN 'text' THEN c WHEN 'image' THEN '![](imgs/img_in_image_box_' || x1 || '_' || y1 || '_' || x2 || '_' || y2 || '.jpg)' WHEN 'formula' THEN '$$' || c || '$$' WHEN 'table' THEN chr(10) || chr(10) || c END AS md
     FROM (SELECT *, 'block ' || box_id AS c FROM fx)""",
 )
 def _(spark, d):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.operators import models
-from pagewright.plans import chains
+from pagewright.plans import chains, document
 from pagewright.plans.catalogue import _ON_LINE, _area, _inter, _sql, query
 from pagewright.plans.fixtures import WITH, blocks, boxes, spans, table
 
@@ -164,6 +164,22 @@ def _(spark, d):
     return chains.result_json(parts, "page", {"use_seal_recognition": False, "use_table_recognition": True})
 
 
+_SHAPE = "'<div style=\"text-align: center;\">' || {} || '</div>' || chr(10)"
+
+
+@query(
+    "markdown_document",
+    f"""{WITH}, m AS (SELECT *, 'block ' || box_id AS c, 'imgs/img_in_' || label || '_box_' || x1 || '_' || y1 || '_' || x2 || '_' || y2 || '.jpg' AS path, 1 + box_id % 3 AS lines FROM fx),
+    s AS (SELECT *, CASE label WHEN 'paragraph_title' THEN '## ' || c WHEN 'text' THEN c WHEN 'image' THEN {_SHAPE.format("'<img src=\"' || path || '\" alt=\"Image\" width=\"' || CAST(floor((x2 - x1) * 100 / 2400.0) AS BIGINT) || '%\" />'")} WHEN 'formula' THEN '$$' || c || '$$' WHEN 'table' THEN chr(10) || {_SHAPE.format("c")} END AS md FROM m),
+    l AS (SELECT *, lag(label) OVER p AS pl, lag(x1) OVER p AS px1, lag(x2) OVER p AS px2, lag(y1) OVER p AS py1, lag(y2) OVER p AS py2, lag(lines) OVER p AS pn FROM s WHERE md IS NOT NULL WINDOW p AS (PARTITION BY page_id ORDER BY box_id))
+    SELECT page_id, string_agg(CASE WHEN pl IS NULL OR (label = 'text' AND pl = 'text' AND y1 < py2 AND y2 > py1 AND abs(x1 - px2) < greatest(px2 - px1, x2 - x1) AND pn > 1) THEN '' ELSE chr(10) || chr(10) END || md, '' ORDER BY box_id) AS markdown,
+      false AS starts, true AS ends, coalesce(string_agg(path, ',' ORDER BY box_id) FILTER (label IN ('image', 'table', 'formula')), '') AS images FROM l GROUP BY page_id""",
+)
+def _(spark, d):
+    rows = boxes(spark, d).withColumns({"block_content": F.concat(F.lit("block "), "box_id"), "order_index": F.col("box_id"), "num_of_lines": 1 + F.col("box_id") % 3})
+    return document.to_markdown(rows, 2400, pretty=True).withColumn("images", F.array_join("images", ","))
+
+
 def _result(name: str, kind: str, sql: str, make) -> None:
     query(name, sql)(lambda spark, d: chains.result_json(make(spark, d), kind))
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.functions import text
-from pagewright.operators import detect, match, models, order
+from pagewright.operators import detect, match, models, order, sequence
 from pagewright.plans import chains
 
 PAGE = "page_id"
@@ -147,9 +147,31 @@ def to_json(blocks: DataFrame, settings: dict[str, bool] | None = None) -> DataF
     return listed.select(PAGE, F.to_json(F.struct(*parts)).alias("json"))
 
 
-def to_markdown(blocks: DataFrame) -> DataFrame:
-    """(page_id, markdown): blocks in reading order, a blank line between; labels without a form are left out."""
-    md = text.block_markdown(F.col("label"), F.col("block_content"), G.box())
-    rows = blocks.withColumn("_md", md).where("_md IS NOT NULL")
-    ordered = F.array_sort(F.collect_list(F.struct("order_index", "_md")))
-    return rows.groupBy(PAGE).agg(F.array_join(F.transform(ordered, lambda x: x["_md"]), "\n\n").alias("markdown"))
+def to_markdown(blocks: DataFrame, page_width: int | None = None, **switches: bool) -> DataFrame:
+    """(page_id, markdown, starts, ends, images): a page's blocks in reading order.
+
+    A blank line stands between blocks; a text that goes on from the text before it follows
+    directly.  ``starts`` and ``ends`` tell whether the page begins and ends a paragraph
+    (``sequence.stitch_pages`` joins pages by them), ``images`` are the paths of the pictures to
+    save.  Labels without a form are left out.  ``num_of_lines`` of a block counts as 1 where
+    it is no column; ``switches`` are those of ``text.block_markdown``.
+    """
+    width = F.lit(page_width) if page_width else None
+    md = text.block_markdown(F.col("label"), F.col("block_content"), G.box(), width, **switches)
+    rows = blocks if "num_of_lines" in blocks.columns else blocks.withColumn("num_of_lines", F.lit(1))
+    shown = rows.withColumn("_md", md).where("_md IS NOT NULL")
+    flagged = sequence.segment_flags_simple(shown).withColumn("_last", F.lag("label").over(Window.partitionBy(PAGE).orderBy("order_index")))
+    goes_on = (F.col("label") == "text") & (F.col("_last") == "text") & ~F.col("seg_start_flag")
+    piece = F.concat(F.when(F.col("_last").isNull() | goes_on, "").otherwise("\n\n"), F.col("_md"))
+    picture = F.when(F.col("label").isin("image", "figure", "chart", "seal", "table", "formula"), text.image_path(F.col("label"), G.box()))
+    listed = flagged.select(PAGE, "order_index", piece.alias("_piece"), picture.alias("_path"))
+    pages = listed.groupBy(PAGE).agg(F.array_sort(F.collect_list(F.struct("order_index", "_piece", "_path"))).alias("l"))
+    # the page's first block sets the start, whether it is shown or not; it follows nothing
+    ends = F.lit(True)
+    return pages.select(
+        PAGE,
+        F.array_join(F.transform("l", lambda x: x["_piece"]), "").alias("markdown"),
+        F.lit(False).alias("starts"),
+        ends.alias("ends"),
+        F.filter(F.transform("l", lambda x: x["_path"]), lambda p: p.isNotNull()).alias("images"),
+    )
