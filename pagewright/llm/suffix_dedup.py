@@ -37,6 +37,8 @@ GRAM = 32
 SHALLOW = 3
 #: Different spans of one anchor hash above which its windows are salted.
 HOT_ROWS = 200_000
+#: Bytes of text whose anchors one task compares, in expectation.
+PART_BYTES = 32 << 20
 #: Documents that hot anchors are looked for in, in expectation.  Only the way of dealing rows out depends on it.
 HOT_SAMPLE = 20_000
 #: Windows sorted at once.
@@ -167,12 +169,9 @@ def _deal(parts: int, length: int, gram: int, hot: np.ndarray, batches: Iterator
         part_a, part_w, part_s = ((c % np.uint64(parts)).astype(np.int64) for c in (columns["h"], windows["f"], spans["id"].astype(np.uint64)))
         sorts = [np.argsort(p, kind="stable") for p in (part_a, part_w, part_s)]
         edges = [np.searchsorted(p[s], np.arange(parts + 1)) for p, s in zip((part_a, part_w, part_s), sorts, strict=True)]
-        rows = [
-            [_dump(c, layout, s[e[p] : e[p + 1]]) for p in range(parts)]
-            for c, layout, s, e in zip((columns, windows, spans), (_ANCHOR, _WINDOW, _SPAN), sorts, edges, strict=True)
-        ]
-        full = [p for p in range(parts) if rows[0][p] or rows[1][p] or rows[2][p]]
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array([r[p] for p in full], pa.binary()) for r in rows)], names=["part", "anchors", "windows", "spans"])
+        full = np.unique(np.concatenate([part_a, part_w, part_s])).tolist()
+        rows = [[_dump(c, layout, s[e[p] : e[p + 1]]) for p in full] for c, layout, s, e in zip((columns, windows, spans), (_ANCHOR, _WINDOW, _SPAN), sorts, edges, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(r, pa.binary()) for r in rows)], names=["part", "anchors", "windows", "spans"])
 
 
 def _windows_of(found: dict[str, np.ndarray], batch: pa.RecordBatch, length: int) -> dict[str, np.ndarray]:
@@ -272,7 +271,7 @@ def _contexts(parts: int, length: int, width: int, batches: Iterator[pa.RecordBa
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
         rows: list[tuple] = []
-        for p in range(parts):
+        for p in np.unique(part).tolist():
             mine = order[edges[p] : edges[p + 1]]
             if len(mine):
                 begin = offsets[owner[mine]] + a["start"][mine]
@@ -424,10 +423,12 @@ def _hot(docs: DataFrame, count: int, length: int, gram: int, hot_rows: int, sam
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, found in _batch_anchors(batch, length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(found["h"]).view(np.int64))], names=["h"])
+                once = np.unique(np.stack([found["h"], found["id"].astype(np.uint64)]), axis=1)[0] if len(found["h"]) else found["h"]
+                h, n = np.unique(once, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0 < share)
-    rows = some.mapInArrow(hashes, "h long").groupBy("h").count().where(F.col("count") >= least).select("h").collect()
+    rows = some.mapInArrow(hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").collect()
     return np.array([r[0] for r in rows], np.int64).view(np.uint64)
 
 
@@ -455,8 +456,9 @@ def dedup_substrings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     """
     spark = documents.sparkSession
     docs, numbers = _unique_ids(documents)
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = spark.sparkContext.broadcast(_hot(docs, docs.count(), length, gram, hot_rows, hot_sample))
+    count, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size or 0) // PART_BYTES))
+    hot = spark.sparkContext.broadcast(_hot(docs, count, length, gram, hot_rows, hot_sample))
     dealt = docs.mapInArrow(lambda b: _deal(parts, length, gram, hot.value, b), _DEALT)
     found = stash(dealt.groupBy("part").applyInArrow(lambda t: _equal_spans(length, t), _FOUND), "equal-spans")
     asked = found.where("asked IS NOT NULL").groupBy("doc_id").agg(F.collect_list("asked").alias("asked"))
