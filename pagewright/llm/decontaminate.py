@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import Words, fresh, scratch, slices, slim, small_batches, stash, text_bytes
+from pagewright.llm.shared import Words, fresh, map_rows, scratch, slices, slim, stash, text_bytes
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
@@ -283,7 +283,7 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int
     bench, blocks = _blocks(benchmark, block_bytes)
     if blocks == 1:
         index = documents.sparkSession.sparkContext.broadcast(BenchmarkIndex([tuple(r) for r in bench.collect()], window))
-        return small_batches(documents).mapInArrow(lambda b: _clean(index.value, share, b), documents.schema)
+        return map_rows(documents, lambda b: _clean(index.value, share, b))
     (row,) = fresh(documents, "row")
     marked = stash(documents.withColumn(row, F.monotonically_increasing_id()), "decontaminate-input")
     bad = contamination(marked.select(F.col(row).alias("doc_id"), "text"), benchmark, window, share, block_bytes).where("contaminated")

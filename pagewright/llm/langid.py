@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import crc_mod3, slices, slim, small_batches, text_bytes
+from pagewright.llm.shared import crc_mod3, map_rows, slices, slim, text_bytes
 
 #: Buckets of the hashed trigram models.
 BUCKETS = 1 << 16
@@ -203,7 +203,7 @@ def accepted(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty
     all rows pass as they are.  Columns of any name pass through; an empty table gives none.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    return small_batches(documents).mapInArrow(lambda b: _accept(sent.value, run, penalty, b), documents.schema)
+    return map_rows(documents, lambda b: _accept(sent.value, run, penalty, b))
 
 
 def identify(documents: DataFrame, model: LanguageModel, run: int = RUN, penalty: float = 2.0) -> DataFrame:

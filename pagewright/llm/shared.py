@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import re
 import shutil
 import tempfile
 import uuid
@@ -30,10 +31,12 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one of ours only where that is unset (tests)."""
+    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one of ours only where that is unset and all runs on one machine (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set; executors need a folder that all of them see")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="pagewright-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
@@ -98,6 +101,14 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def map_rows(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` over whole rows that keeps the schema, whatever the columns are called; in small batches."""
+    odd = [c for c in df.columns if not c.isidentifier()]
+    plain = dict(zip(odd, fresh(df, *[f"column_{k}" for k in range(len(odd))]), strict=True))
+    rows = small_batches(df).toDF(*[plain.get(c, c) for c in df.columns])
+    return rows.mapInArrow(work, rows.schema).toDF(*df.columns)
+
+
 def document_key(doc_id: Column, text_hash: Column) -> Column:
     """A 64-bit key of a document; with the doc_id, which it includes, it tells documents apart."""
     return F.xxhash64(doc_id, text_hash)
