@@ -91,6 +91,18 @@ def projection_overlap(a: Column, b: Column, direction: str = "horizontal", mode
     return F.when((inter <= 0) | (reference <= 0), 0.0).otherwise(inter / reference)
 
 
+def from_coordinates(c: Column) -> Column:
+    """A box from an array of its sides (4 numbers), or around the corners of a polygon (8 numbers or more: x, y, x, y, …)."""
+    even, odd = F.filter(c, lambda v, i: i % 2 == 0), F.filter(c, lambda v, i: i % 2 == 1)
+    around = make(F.array_min(even), F.array_min(odd), F.array_max(even), F.array_max(odd))
+    return F.when(F.size(c) == 4, make(c[0], c[1], c[2], c[3])).when((F.size(c) >= 6) & (F.size(c) % 2 == 0), around)
+
+
+def corners(b: Column) -> Column:
+    """A box as a polygon of 8 numbers, clockwise from the top left."""
+    return F.when(b.isNotNull(), F.array(b.x1, b.y1, b.x2, b.y1, b.x2, b.y2, b.x1, b.y2))
+
+
 def intersection(a: Column, b: Column) -> Column:
     """The common box, null where there is none."""
     common = make(F.greatest(a.x1, b.x1), F.greatest(a.y1, b.y1), F.least(a.x2, b.x2), F.least(a.y2, b.y2))

@@ -119,24 +119,60 @@ def merge(boxes: DataFrame, mode: str | dict[int, str], share: float = 0.9, form
     return kept
 
 
+def _dropped(entries: Column, threshold: float, label: str) -> Column:
+    """Ids that overlap removal drops of a page's entries (box_id, label, b) in box order."""
+
+    def goes(p: Column, q: Column) -> Column:
+        images = (p.label == label, q.label == label)
+        return F.when(images[0] != images[1], F.when(images[0], p.box_id).otherwise(q.box_id)).when(G.area(p.b) <= G.area(q.b), p.box_id).otherwise(q.box_id)
+
+    def later(p: Column, at: Column) -> Column:
+        rest = F.slice(entries, at + 2, F.size(entries))
+        over = F.filter(rest, lambda q: G.overlap(p.b, q.b, "small") > threshold)
+        return F.transform(over, lambda q: F.struct(p.box_id.alias("i"), q.box_id.alias("j"), goes(p, q).alias("d")))
+
+    pairs_ = F.flatten(F.transform(entries, later))
+    return F.aggregate(pairs_, F.array().cast("array<long>"), lambda acc, c: F.when(F.array_contains(acc, c.i) | F.array_contains(acc, c.j), acc).otherwise(F.array_append(acc, c.d)))
+
+
+def _rows_of_pages(boxes: DataFrame, *order: Column) -> DataFrame:
+    """(page, entries): a page's boxes in the given order, each with its whole row, so that nothing is joined back."""
+    keys = [k.alias(f"k{i}") for i, k in enumerate(order)]
+    label = F.col("label") if "label" in boxes.columns else F.lit("")
+    cls = F.col("cls_id") if "cls_id" in boxes.columns else F.lit(0)
+    entry = F.struct(*keys, F.col("box_id").alias("box_id"), cls.alias("cls_id"), label.alias("label"), G.box().alias("b"), F.struct(*boxes.columns).alias("row"))
+    return boxes.groupBy(PAGE).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+
+
 def overlap_drops(boxes: DataFrame, threshold: float = 0.5, label: str = "image") -> DataFrame:
     """(page_id, box_id) of boxes that overlap removal drops.
 
     Pairs are visited in box order; a pair with a box that is already dropped counts no more.
     Of an image and another box the image goes, else the smaller one, ties the first.
     """
-    a, b = G.box(table="p"), G.box(table="q")
-    over = pairs(boxes.select(PAGE, "box_id", "label", *G.SIDES), (F.col("p.box_id") < F.col("q.box_id")) & (G.overlap(a, b, "small") > threshold))
-    first_image, second_image = (F.col(f"{t}.label") == label for t in "pq")
-    goes = F.when(first_image != second_image, F.when(first_image, F.col("p.box_id")).otherwise(F.col("q.box_id"))).when(G.area(a) <= G.area(b), F.col("p.box_id")).otherwise(F.col("q.box_id"))
-    listed = over.select(F.col(f"p.{PAGE}").alias(PAGE), F.struct(F.col("p.box_id").alias("i"), F.col("q.box_id").alias("j"), goes.alias("d")).alias("pair"))
-    per_page = listed.groupBy(PAGE).agg(F.array_sort(F.collect_list("pair")).alias("pairs"))
-    dropped = F.aggregate("pairs", F.array().cast("array<long>"), lambda acc, c: F.when(F.array_contains(acc, c.i) | F.array_contains(acc, c.j), acc).otherwise(F.array_append(acc, c.d)))
-    return per_page.select(PAGE, F.explode(dropped).alias("box_id"))
+    pages = _rows_of_pages(boxes, F.col("box_id"))
+    return pages.select(PAGE, F.explode(_dropped(F.col("entries"), threshold, label)).alias("box_id"))
 
 
 def remove_overlaps(boxes: DataFrame, threshold: float = 0.5, label: str = "image") -> DataFrame:
-    return boxes.join(overlap_drops(boxes, threshold, label), [PAGE, "box_id"], "left_anti")
+    """Boxes (all columns) that overlap removal keeps."""
+    pages = _rows_of_pages(boxes, F.col("box_id")).withColumn("gone", _dropped(F.col("entries"), threshold, label))
+    return _kept_rows(pages)
+
+
+def _kept_rows(pages: DataFrame) -> DataFrame:
+    return pages.select(F.explode(F.filter("entries", lambda e: ~F.array_contains("gone", e.box_id))).alias("e")).select("e.row.*")
+
+
+def clean(boxes: DataFrame, same: float = 0.6, different: float = 0.98, threshold: float = 0.5, label: str = "image") -> DataFrame:
+    """Suppression, then overlap removal, of a page's boxes in one row: one shuffle, no join.  All columns stay."""
+
+    def hides(k: Column, c: Column) -> Column:
+        return G.overlap(k.b, c.b, "plus1") >= F.when(k.cls_id == c.cls_id, same).otherwise(different)
+
+    pages = _rows_of_pages(boxes, -F.col("score"), F.col("box_id"))
+    pages = pages.select(PAGE, F.array_sort(_fold("entries", hides), lambda x, y: F.when(x.box_id < y.box_id, -1).when(x.box_id > y.box_id, 1).otherwise(0)).alias("entries"))
+    return _kept_rows(pages.withColumn("gone", _dropped(F.col("entries"), threshold, label)))
 
 
 def relabel(boxes: DataFrame, title_share: float = 0.3) -> DataFrame:

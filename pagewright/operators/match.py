@@ -112,6 +112,22 @@ def split_spans(spans: DataFrame, cells: DataFrame, least_cells: int = 2) -> Dat
     return pieces.select(PAGE, "span_id", "piece", F.col("p.x1").alias("x1"), "y1", F.col("p.x2").alias("x2"), "y2")
 
 
+def overlapping(boxes: DataFrame, others: DataFrame, mode: str = "union", threshold: float = 0.5, keep: bool = True) -> DataFrame:
+    """Boxes (all columns) that overlap some other by more than the threshold, or with ``keep`` off those that overlap none so.
+
+    ``mode``: the overlap's share of the union, or of the smaller or larger of the two.
+    """
+    a, b = boxes.alias("a"), others.select(PAGE, *G.SIDES).alias("b")
+    condition = (F.col(f"a.{PAGE}") == F.col(f"b.{PAGE}")) & (G.overlap(G.box(table="a"), G.box(table="b"), mode) > threshold)
+    return a.join(b, condition, "left_semi" if keep else "left_anti")
+
+
+def in_interval(boxes: DataFrame, low: float, high: float, axis: str = "x") -> DataFrame:
+    """(page_id, box_id, place): boxes that lie within an interval of an axis, by their end, ties to the smaller id."""
+    rows = boxes.where((F.col(f"{axis}1") >= low) & (F.col(f"{axis}2") <= high))
+    return rows.select(PAGE, "box_id", F.row_number().over(Window.partitionBy(PAGE).orderBy(f"{axis}2", "box_id")).cast("long").alias("place"))
+
+
 def shared_spans(bridge: DataFrame) -> DataFrame:
     """Rows of a block-span bridge whose span is matched by two blocks or more."""
     return bridge.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(PAGE, "span_id"))).where("_n > 1").drop("_n")
@@ -139,9 +155,10 @@ def assign_regions(regions: DataFrame, blocks: DataFrame, share: float = 0.6) ->
     return joined.groupBy(F.col(f"b.{PAGE}").alias(PAGE), F.col("b.box_id").alias("box_id")).agg(first).select(PAGE, F.col("m.region_id").alias("region_id"), "box_id")
 
 
-def supplement(blocks: DataFrame, bridge: DataFrame, label: str = "SupplementaryRegion") -> DataFrame:
-    """One region per page around the blocks of no region: (page_id, label, x1, y1, x2, y2, n_blocks)."""
-    rest = blocks.join(bridge.select(PAGE, "box_id"), [PAGE, "box_id"], "left_anti")
+def supplement(blocks: DataFrame, bridge: DataFrame, label: str = "SupplementaryRegion", masked: tuple[str, ...] = ()) -> DataFrame:
+    """One region per page around the blocks of no region: (page_id, label, x1, y1, x2, y2, n_blocks).  Blocks of masked labels don't count."""
+    rest = blocks.where(~F.col("label").isin(*masked)) if masked else blocks
+    rest = rest.join(bridge.select(PAGE, "box_id"), [PAGE, "box_id"], "left_anti")
     return rest.groupBy(PAGE).agg(F.lit(label).alias("label"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"), F.count(F.lit(1)).alias("n_blocks"))
 
 

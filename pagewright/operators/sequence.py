@@ -35,11 +35,11 @@ def projection_profile(boxes: DataFrame, axis: str = "x") -> DataFrame:
     return steps.select(PAGE, "pos", F.sum("d").over(Window.partitionBy(PAGE).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)).alias("cover"))
 
 
-def profile_segments(profile: DataFrame, least: int = 0) -> DataFrame:
-    """(page_id, start, end): runs of a profile above ``least``."""
+def profile_segments(profile: DataFrame, least: int = 0, min_gap: int = 1) -> DataFrame:
+    """(page_id, start, end): runs of a profile above ``least``; gaps of fewer than ``min_gap`` pixels don't part them."""
     order = Window.partitionBy(PAGE).orderBy("pos")
     rows = profile.withColumns({"end": F.lead("pos").over(order), "_on": F.col("cover") > least}).where("end IS NOT NULL AND _on")
-    rows = rows.withColumn("_new", F.when(F.col("pos") == F.lag("end").over(order), 0).otherwise(1))
+    rows = rows.withColumn("_new", F.when(F.col("pos") - F.lag("end").over(order) < min_gap, 0).otherwise(1))
     rows = rows.withColumn("run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(PAGE, "run").agg(F.min("pos").alias("start"), F.max("end").alias("end")).drop("run")
 

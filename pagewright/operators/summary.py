@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
@@ -39,9 +39,10 @@ def region_stats(blocks: DataFrame, *keys: str, text_label: str = "text", line_h
     )
 
 
-def region_distance(blocks: DataFrame, *keys: str) -> DataFrame:
-    """Least distance of the blocks' corners to the page's origin."""
-    return blocks.groupBy(*keys).agg(F.min(F.sqrt(F.col("x1") * F.col("x1") + F.col("y1") * F.col("y1"))).alias("distance"))
+def region_distance(blocks: DataFrame, *keys: str, right: Column | None = None) -> DataFrame:
+    """Least distance of the blocks' top left corners to the page's origin, or with ``right`` of their top right ones to that edge's top."""
+    x = F.col("x1") if right is None else right - F.col("x2")
+    return blocks.groupBy(*keys).agg(F.min(F.sqrt(x * x + F.col("y1") * F.col("y1"))).alias("distance"))
 
 
 def mean_confidence(steps: DataFrame, *keys: str, column: str = "prob") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
-from pagewright.operators import models
+from pagewright.operators import match, models, sequence, summary
 from pagewright.plans import chains, document
 from pagewright.plans.catalogue import _ON_LINE, _area, _inter, _sql, query
 from pagewright.plans.fixtures import WITH, blocks, boxes, spans, table
@@ -259,3 +259,41 @@ def _(spark, d):
 @query("region_box", f"{WITH} SELECT page_id, CAST(trunc(min(x1 / 7.0)) AS INT) AS x1, CAST(trunc(min(y1 / 7.0)) AS INT) AS y1, CAST(trunc(max(x2 / 7.0)) AS INT) AS x2, CAST(trunc(max(y2 / 7.0)) AS INT) AS y2 FROM fx GROUP BY page_id")
 def _(spark, d):
     return boxes(spark, d).groupBy("page_id").agg(F.min(F.col("x1") / 7).cast("int").alias("x1"), F.min(F.col("y1") / 7).cast("int").alias("y1"), F.max(F.col("x2") / 7).cast("int").alias("x2"), F.max(F.col("y2") / 7).cast("int").alias("y2"))
+
+
+@query("overlap_filter", f"{WITH} SELECT b.page_id, b.box_id FROM blk b WHERE EXISTS (SELECT 1 FROM spn s WHERE s.page_id = b.page_id AND {_inter('b', 's')} * 4 > ({_area('b')} + {_area('s')} - {_inter('b', 's')}))")
+def _(spark, d):
+    return match.overlapping(blocks(spark, d), spans(spark, d), "union", 0.25).select("page_id", "box_id")
+
+
+@query("overlap_filter_none", f"{WITH} SELECT b.page_id, b.box_id FROM blk b WHERE NOT EXISTS (SELECT 1 FROM spn s WHERE s.page_id = b.page_id AND {_inter('b', 's')} * 10 > greatest({_area('b')}, {_area('s')}))")
+def _(spark, d):
+    return match.overlapping(blocks(spark, d), spans(spark, d), "large", 0.1, keep=False).select("page_id", "box_id")
+
+
+@query("interval_rows", f"{WITH} SELECT page_id, box_id, row_number() OVER (PARTITION BY page_id ORDER BY y2, box_id) AS place FROM fx WHERE y1 >= 200 AND y2 <= 800")
+def _(spark, d):
+    return match.in_interval(boxes(spark, d), 200, 800, "y")
+
+
+@query("profile_wide_gaps", _sql["profile_segments"].replace("pos = lag(e) OVER (PARTITION BY page_id ORDER BY pos)", "pos - lag(e) OVER (PARTITION BY page_id ORDER BY pos) < 120"))
+def _(spark, d):
+    return sequence.profile_segments(sequence.projection_profile(boxes(spark, d)), min_gap=120)
+
+
+@query("region_distance_right", f"{WITH} SELECT page_id, round(sqrt(min((3000 - x2) * (3000 - x2) + y1 * y1)), 6) AS distance FROM fx GROUP BY page_id")
+def _(spark, d):
+    return summary.region_distance(boxes(spark, d), "page_id", right=F.lit(3000)).withColumn("distance", F.round("distance", 6))
+
+
+@query("coordinate_boxes", f"{WITH} SELECT page_id, box_id, x1, y1, x2, y2, least(x1, x2 - 90) AS u1, y1 - 7 AS v1, greatest(x2, x2 - 90) AS u2, y2 AS v2, array_to_string([x1, y1, x2, y1, x2, y2, x1, y2], ',') AS poly FROM fx")
+def _(spark, d):
+    rows = boxes(spark, d).withColumns({"b": G.from_coordinates(F.array(*G.SIDES)), "q": G.from_coordinates(F.array(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y1") - 7, F.col("x2"), F.col("y2"), F.col("x2") - 90, F.col("y2")))})
+    sides = [F.col(f"b.{s}").alias(s) for s in G.SIDES] + [F.col(f"q.{s}").alias(n) for s, n in zip(G.SIDES, ("u1", "v1", "u2", "v2"), strict=True)]
+    return rows.select("page_id", "box_id", *sides, F.array_join(G.corners(F.col("b")), ",").alias("poly"))
+
+
+@query("supplement_masked", _sql["supplement_rows"].replace("WHERE NOT EXISTS", "WHERE s.text NOT LIKE '%text' AND NOT EXISTS"))
+def _(spark, d):
+    own = spans(spark, d).withColumnRenamed("span_id", "box_id").withColumn("label", F.regexp_replace("text", r"^s\d+", ""))
+    return match.supplement(own, match.assign_regions(blocks(spark, d).withColumnRenamed("box_id", "region_id"), own), masked=("text",))

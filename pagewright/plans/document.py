@@ -67,8 +67,7 @@ def clean(boxes: DataFrame, options: Options = Options()) -> DataFrame:
     """Thresholds, suppression and overlap removal."""
     if options.thresholds:
         boxes = detect.above_threshold(boxes, options.thresholds)
-    kept = boxes.join(detect.suppress(boxes, options.same_iou, options.different_iou), [PAGE, "box_id"], "left_semi")
-    return detect.remove_overlaps(kept, options.overlap)
+    return detect.clean(boxes, options.same_iou, options.different_iou, options.overlap)
 
 
 def contents(blocks: DataFrame, spans: DataFrame, options: Options = Options()) -> DataFrame:
