@@ -124,72 +124,93 @@ def _weights(scale: np.ndarray, doc: np.ndarray, column: np.ndarray, count: np.n
     return w / norm[doc]
 
 
-def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(range, place) of all places of the ranges [low, high)."""
-    n = high - low
-    which = np.repeat(np.arange(len(n)), n)
-    return which, low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+#: Bits of an example's number in a neighbour's key; more examples than these allow are refused.
+_BITS = 20
+#: Steps of a cosine in a neighbour's key.
+_STEPS = 1e12
 
 
 class BlockMaxIndex:
     """Postings of examples, the largest weight of each term in each block of them, and exact k-nearest search.
 
     (example, term, weight) are rows of unit vectors.  Examples are in order of their
-    strongest terms, so that blocks hold like ones; ids break ties.
+    strongest terms, so that blocks hold like ones.  Many texts are searched at once: each
+    visits its blocks by falling upper bound, and those at the same block are scored together
+    from the block's postings.
     """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int, block: int = BLOCK):
+        if len(ids) >= 1 << _BITS:
+            raise ValueError("too many examples")
         strongest = np.zeros((len(ids), 2))
-        order = np.lexsort((weight, example))
+        order = np.lexsort((np.where(term > 0, weight, 0.0), example))  # the pooled term says little
         last = np.flatnonzero(np.diff(example[order], append=-1)) if len(order) else order
         strongest[example[order][last]] = np.stack([term[order][last], weight[order][last]], 1)
-        rank = np.lexsort((ids, strongest[:, 1], strongest[:, 0]))
+        self.rank = np.lexsort((ids, strongest[:, 1], strongest[:, 0]))
         place = np.empty(len(ids), np.int64)
-        place[rank] = np.arange(len(ids))
-        self.ids, self.labels, self.block, self.blocks = ids[rank], labels[rank], block, -(-len(ids) // block)
-        order = np.lexsort((place[example], term))
-        self.at, term, self.weight = place[example][order].astype(np.int32), term[order], weight[order]
-        entry = np.flatnonzero(np.diff(term * max(1, self.blocks) + self.at // block, prepend=-1))
-        #: entries are the postings of a term in a block: postings first[e] .. first[e + 1]
-        self.first = np.append(entry, len(term))
-        self.entry_block = (self.at[entry] // block).astype(np.int32)
-        self.entry_max = np.maximum.reduceat(self.weight, entry) if len(entry) else np.zeros(0)
-        self.of_term = np.searchsorted(term[entry], np.arange(terms + 1))
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, cosines) of the k nearest that share a term, nearest first, ties to the smaller id; ``leave_out`` is a position."""
-        which, entry = _ranges(self.of_term[terms], self.of_term[terms + 1])
-        block = self.entry_block[entry]
-        bounds = np.bincount(block, weights=weights[which] * self.entry_max[entry], minlength=self.blocks)
-        by_block = np.argsort(block, kind="stable")
-        edges = np.searchsorted(block[by_block], np.arange(self.blocks + 1))
-        place, score = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if edges[b] == edges[b + 1] or len(score) >= k and bounds[b] < score[k - 1] - 1e-12:
+        place[self.rank] = np.arange(len(ids))
+        self.ids, self.labels, self.terms, self.block, self.blocks = ids[self.rank], labels[self.rank], terms, block, -(-len(ids) // block)
+        #: the smaller an id, the larger its number: keys of equal cosines fall with the id
+        self.number = np.empty(len(ids), np.int64)
+        self.number[np.argsort(self.ids, kind="stable")] = (1 << _BITS) - 1 - np.arange(len(ids))
+        self.by_number = np.argsort(self.ids, kind="stable")
+        order = np.lexsort((term, place[example] // block))
+        at, term, weight = place[example][order], term[order], weight[order]
+        edges = np.searchsorted(at // block, np.arange(self.blocks + 1))
+        #: of each block: its terms, and the postings as (row among the terms, place in the block, weight)
+        self.postings = []
+        self.block_max = np.zeros((terms, self.blocks))
+        for b in range(self.blocks):
+            part = slice(edges[b], edges[b + 1])
+            own, row = np.unique(term[part], return_inverse=True)
+            self.postings.append((own, row, at[part] - b * block, weight[part]))
+            np.maximum.at(self.block_max[:, b], term[part], weight[part])
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, leave_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(n, k) positions and cosines of the examples nearest to n texts that share a term, nearest first, ties to the smaller id; -1 where there are fewer.
+
+        ``leave_out`` is a position for each text that doesn't count, or -1.
+        """
+        x = np.zeros((n, self.terms))
+        x[row, term] = weight
+        bounds = x @ self.block_max
+        falling = np.argsort(-bounds, axis=1, kind="stable")
+        best = np.zeros((n, k), np.int64)  # keys: steps of the cosine, then the example's number
+        open_ = np.arange(n)
+        for step in range(self.blocks):
+            block = falling[open_, step]
+            bound, worst = bounds[open_, block], best[open_, k - 1]
+            going = (bound > 0) & ((worst == 0) | (bound >= (worst >> _BITS) / _STEPS - 2 / _STEPS))
+            open_, block = open_[going], block[going]
+            if not len(open_):
                 break
-            own = by_block[edges[b] : edges[b + 1]]
-            of, posting = _ranges(self.first[entry[own]], self.first[entry[own] + 1])
-            got = np.bincount(self.at[posting] - b * self.block, weights=weights[which[own][of]] * self.weight[posting], minlength=self.block)
-            at = np.flatnonzero(got > 0)
-            got, at = got[at], at + b * self.block
-            keep = at != leave_out
-            if len(score) >= k:
-                keep &= got >= score[k - 1] - 1e-12
-            place, score = np.concatenate([place, at[keep]]), np.concatenate([score, got[keep]])
-            best = np.lexsort((self.ids[place], -np.round(score, 12)))[:k]
-            place, score = place[best], score[best]
-        return place, score
-
-    def vector(self, position: int) -> tuple[np.ndarray, np.ndarray]:
-        """(terms, weights) of an example."""
-        posting = np.flatnonzero(self.at == position)
-        entry = np.searchsorted(self.first, posting, "right") - 1
-        return np.searchsorted(self.of_term, entry, "right") - 1, self.weight[posting]
-
-    def vote(self, place: np.ndarray, score: np.ndarray) -> float:
-        """Share of label 1 among the neighbours, weighted by 1 / (distance + 0.05)."""
-        weight = 1 / (np.maximum(0, 1 - score) + 0.05)
-        return float(weight @ self.labels[place] / weight.sum()) if len(place) else np.nan
+            for b in np.unique(block).tolist():
+                rows = open_[block == b]
+                own, at_term, at, w = self.postings[b]
+                size = min(self.block, len(self.ids) - b * self.block)
+                dense = np.zeros((len(own), size))
+                dense[at_term, at] = w
+                cosine = x[np.ix_(rows, own)] @ dense
+                keys = np.rint(cosine * _STEPS).astype(np.int64) << _BITS | self.number[b * self.block : b * self.block + size]
+                keys[cosine <= 0] = 0
+                if leave_out is not None:
+                    mine = leave_out[rows] - b * self.block
+                    here = np.flatnonzero((mine >= 0) & (mine < size))
+                    keys[here, mine[here]] = 0
+                both = np.concatenate([best[rows], keys], axis=1)
+                both.partition(both.shape[1] - k, axis=1)
+                best[rows] = np.sort(both[:, -k:], axis=1)[:, ::-1]
+        number = (1 << _BITS) - 1 - (best & (1 << _BITS) - 1)
+        there = best > 0
+        place = np.where(there, self.by_number[np.where(there, number, 0)] if len(self.ids) else 0, -1)
+        return place, np.where(there, (best >> _BITS) / _STEPS, 0.0)
+
+    def vote(self, place: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """Share of label 1 among the neighbours of each text, weighted by 1 / (distance + 0.05); not a number without neighbours."""
+        weight = np.where(place >= 0, 1 / (np.maximum(0, 1 - score) + 0.05), 0.0)
+        total = weight.sum(1)
+        labels = self.labels[np.maximum(place, 0)] if len(self.labels) else np.zeros(place.shape)
+        return np.divide((weight * labels).sum(1), total, out=np.full(len(total), np.nan), where=total > 0)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -210,19 +231,31 @@ class ToxicityModel:
     ``without`` is the score of texts without a term of weight.
     """
 
-    def __init__(self, vocabulary: Vocabulary, scale: np.ndarray, index: BlockMaxIndex, without: float, clean_weight: float):
-        self.vocabulary, self.scale, self.index, self.without = vocabulary, scale, index, without
-        votes, truth, weight = [], [], []
-        for k in range(len(index.ids)):
-            terms, weights = index.vector(k)
-            if len(terms) > 1:
-                votes.append(index.vote(*index.nearest(terms, weights, NEIGHBOURS, leave_out=k)))
-                truth.append(index.labels[k]), weight.append(1.0 if index.labels[k] else clean_weight)
-        known = ~np.isnan(np.array(votes))
-        self.knots, self.levels = isotonic(np.array(votes)[known], np.array(truth, float)[known], np.array(weight)[known]) if known.any() else (np.zeros(1), np.full(1, without))
-
-    def calibrated(self, vote: float) -> float:
-        return float(np.clip(np.interp(vote, self.knots, self.levels), 0, 1)) if not np.isnan(vote) else self.without
+    def __init__(self, vocabulary: Vocabulary, scale: np.ndarray, ids: np.ndarray, labels: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], without: float, clean_weight: float):
+        self.vocabulary, self.scale, self.without = vocabulary, scale, without
+        # of equal vectors only the first few ids can be among the nearest, whatever the text
+        met: dict[bytes, int] = {}
+        kept = []
+        for k, (terms, weights) in enumerate(vectors):
+            key = terms.tobytes() + np.round(weights, 12).tobytes()
+            met[key] = met.get(key, 0) + 1
+            if len(terms) and met[key] <= NEIGHBOURS + 1:
+                kept.append(k)
+        def flat(rows: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            row = np.repeat(np.arange(len(rows)), [len(vectors[k][0]) for k in rows])
+            return row, *(np.concatenate([np.zeros(0, kind), *[vectors[k][c] for k in rows]]) for c, kind in ((0, np.int64), (1, np.float64)))
+
+        self.index = BlockMaxIndex(ids[kept], labels[kept], *flat(kept), len(scale))
+        own = dict(zip(np.array(kept, np.int64)[self.index.rank].tolist(), range(len(kept)), strict=True))
+        judged = [k for k, (terms, _) in enumerate(vectors) if len(terms) > 1]
+        leave_out = np.array([own.get(k, -1) for k in judged], np.int64)
+        votes = self.index.vote(*self.index.nearest(*flat(judged), len(judged), NEIGHBOURS, leave_out))
+        at = np.array(judged, np.int64)[~np.isnan(votes)]
+        fitted = isotonic(votes[~np.isnan(votes)], labels[at].astype(float), np.where(labels[at] > 0, 1.0, clean_weight)) if len(at) else None
+        self.knots, self.levels = fitted or (np.zeros(1), np.full(1, without))
+
+    def calibrated(self, votes: np.ndarray) -> np.ndarray:
+        return np.where(np.isnan(votes), self.without, np.clip(np.interp(votes, self.knots, self.levels), 0, 1))
 
 
 def fit(documents: DataFrame, labels: DataFrame, toxic_examples: int = TOXIC_EXAMPLES, clean_examples: int = CLEAN_EXAMPLES) -> ToxicityModel:
@@ -262,16 +295,16 @@ def fit(documents: DataFrame, labels: DataFrame, toxic_examples: int = TOXIC_EXA
 
         rows = examples.select("doc_id", "toxic", "text").mapInArrow(lambda b: _example_vectors(sent.value, b), "doc_id long, toxic int, columns array<int>, counts array<long>").collect()
     rows = sorted((r for r in rows if len(r["columns"])), key=lambda r: (r["doc_id"], r["toxic"], r["columns"], r["counts"]))
-    example = np.repeat(np.arange(len(rows)), [len(r["columns"]) for r in rows])
-    column = np.concatenate([np.zeros(0, np.int64), *[np.array(r["columns"], np.int64) for r in rows]])
-    count = np.concatenate([np.zeros(0, np.int64), *[np.array(r["counts"], np.int64) for r in rows]])
+    vectors = []
+    for r in rows:
+        column, count = np.array(r["columns"], np.int64), np.array(r["counts"], np.int64)
+        vectors.append((column, _weights(scale, np.zeros(len(column), np.int64), column, count, 1)))
     ids, toxic = np.array([r["doc_id"] for r in rows], np.int64), np.array([r["toxic"] for r in rows], np.int64)
-    index = BlockMaxIndex(ids, toxic, example, column, _weights(scale, example, column, count, len(rows)), len(terms))
     # examples without a term of weight (but the pooled one): how many of them are toxic, at the labels' true shares
-    plain = np.bincount(example, minlength=len(rows)) < 2 if len(terms) else np.ones(len(rows), bool)
+    plain = np.array([len(column) < 2 for column, _ in vectors], bool)
     weight = np.where(toxic[plain] > 0, 1.0, shares[1] / shares[0])
     without = float(weight @ toxic[plain] / weight.sum()) if len(terms) and plain.any() else prior
-    return ToxicityModel(vocabulary, scale, index, without, shares[1] / shares[0])
+    return ToxicityModel(vocabulary, scale, ids, toxic, vectors, without, shares[1] / shares[0])
 
 
 def _example_vectors(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,33 +323,29 @@ def _example_vectors(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch])
             )
 
 
+_EVIDENCE_TYPE = pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])
+
+
 def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     index = model.index
-    met: dict[bytes, tuple[float, list[dict]]] = {}
     for batch in batches:
         for lo, hi, hashes, doc in _texts(batch):
-            scores: list[float] = [model.without] * (hi - lo)
-            evidence: list[list[dict]] = [[] for _ in range(hi - lo)]
             d, column, count = model.vocabulary.counts(hashes, doc)
-            if len(d):
-                weight = _weights(model.scale, d, column, count, hi - lo)
-                for s, e in zip(np.flatnonzero(np.diff(d, prepend=-1)), np.append(np.flatnonzero(np.diff(d)) + 1, len(d)), strict=True):
-                    if e - s == 1:  # the pooled term alone
-                        continue
-                    key = column[s:e].tobytes() + count[s:e].tobytes()
-                    if key not in met:
-                        place, cosine = index.nearest(column[s:e], weight[s:e], NEIGHBOURS)
-                        if len(met) > 100_000:
-                            met.clear()
-                        met[key] = (
-                            model.calibrated(index.vote(place, cosine)),
-                            [{"doc_id": int(index.ids[p]), "cosine": float(min(1.0, c)), "toxic": int(index.labels[p])} for p, c in zip(place[:_EVIDENCE], cosine, strict=False)],
-                        )
-                    scores[d[s]], evidence[d[s]] = met[key]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())])))],
-                names=["doc_id", "score", "evidence"],
-            )
+            weight = _weights(model.scale, d, column, count, hi - lo)
+            some = np.flatnonzero(np.bincount(d, minlength=hi - lo) > 1)  # more than the pooled term
+            number = np.full(hi - lo, -1)
+            number[some] = np.arange(len(some))
+            own = number[d] >= 0
+            place, cosine = index.nearest(number[d[own]], column[own], weight[own], len(some), NEIGHBOURS)
+            scores = np.full(hi - lo, model.without)
+            scores[some] = model.calibrated(index.vote(place, cosine))
+            shown = place[:, :_EVIDENCE] >= 0
+            sizes = np.zeros(hi - lo, np.int64)
+            sizes[some] = shown.sum(1)
+            at = place[:, :_EVIDENCE][shown]
+            listed = pa.StructArray.from_arrays([pa.array(index.ids[at], pa.int64()), pa.array(np.minimum(1.0, cosine[:, :_EVIDENCE][shown])), pa.array(index.labels[at], pa.int32())], fields=list(_EVIDENCE_TYPE))
+            evidence = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), listed)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(scores, pa.float64()), evidence], names=["doc_id", "score", "evidence"])
 
 
 def score(documents: DataFrame, model: ToxicityModel) -> DataFrame:
