@@ -106,11 +106,57 @@ def test_best_fit_takes_the_tightest_bin():
 
 
 def test_least_cost_and_downsizing():
-    assert packing.least_cost_capacity(10, 10, (16, 64)) == 16
-    assert packing.least_cost_capacity(10, 10_000, (512, 1024, 8192)) == 1024
+    left = lambda *n: packing.Left(np.array(n, int))
+    assert packing.least_cost_capacity(10, left(), (16, 64)) == 64  # both end as 16
+    assert packing.least_cost_capacity(600, left(*[100] * 90), (512, 1024, 8192)) == 1024
+    assert packing.least_cost_capacity(600, left(*[500] * 90), (1024, 2048), overhead=64) == 2048  # 600 + 500 do not fit 1024
+    assert packing.least_cost_capacity(600, left(*[424] * 90), (1024, 2048), overhead=64) == 1024
+    assert left(5, 5, 3, 9).fill(14) == 14 and left(5, 5, 3, 9).fill(4) == 3 and left().fill(9) == 0
     assert packing.pack([10], (16, 64, 1024))[2].tolist() == [16]
 
 
+def total_cost(lengths, capacities, overhead, span):
+    return sum(packing.cost(int(c), overhead, span) for c in packing.pack(lengths, capacities, overhead, span)[2])
+
+
+def least_total(lengths, capacities, overhead, span):
+    """The least cost of all ways to share the pieces among bins."""
+    best = [float("inf")]
+
+    def place(k, sums):
+        if k == len(lengths):
+            best[0] = min(best[0], sum(packing.cost(min(c for c in capacities if c >= s), overhead, span) for s in sums))
+            return
+        for b in range(len(sums)):
+            if sums[b] + lengths[k] <= max(capacities):
+                place(k + 1, [*sums[:b], sums[b] + lengths[k], *sums[b + 1 :]])
+        place(k + 1, [*sums, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packing_is_near_the_exhaustive_optimum():
+    rng = random.Random(12)
+    ratios = []
+    for _ in range(150):
+        capacities, overhead, span = (16, 32, 64), rng.choice([0.0, 2.0, 8.0]), rng.choice([64.0, 512.0])
+        lengths = [rng.randint(1, rng.choice([20, 64])) for _ in range(rng.randint(1, 7))]
+        ratios.append(total_cost(lengths, capacities, overhead, span) / least_total(lengths, capacities, overhead, span))
+    assert min(ratios) >= 1 - 1e-9 and np.mean(ratios) < 1.05 and max(ratios) < 1.35
+
+
+def test_joint_sizes_cost_less_than_any_one():
+    rng = random.Random(2)
+    for _ in range(5):
+        lengths = [min(8192, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(3000)]
+        joint = total_cost(lengths, packing.CAPACITIES, packing.OVERHEAD, packing.SPAN)
+        bins, _, _ = packing.pack(lengths, (8192,), packing.OVERHEAD, packing.SPAN)
+        assert joint < 0.9 * packing.cost(8192) * len(set(bins.tolist()))
+        opened = {packing.least_cost_capacity(n, packing.Left(np.array(lengths)), packing.CAPACITIES) for n in lengths}
+        assert len(opened) >= 4
+
+
 def test_packing_awkward(awkward, nothing):
     sized = packing.token_lengths(awkward)
     rows = packing.best_fit(sized).collect()
@@ -153,6 +199,47 @@ def test_html_on_unmarked_page():
     assert "menu" not in got and got.count("story") == 48
 
 
+def brute_ranges(counts, window, threshold):
+    """Sums of all windows anew; a state per line."""
+    kept, on = [], False
+    for k in range(len(counts)):
+        total = sum(counts[k : k + window])
+        on = on and total > 0 or not on and counts[k] > 0 and total > threshold
+        kept.append(on)
+    return kept
+
+
+def test_windows_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(300):
+        counts = [rng.choice([0, 0, 0, 3, 40, 200]) for _ in range(rng.randint(0, 30))]
+        window, threshold = rng.randint(1, 5), rng.choice([0, 30, 80])
+        kept = [False] * len(counts)
+        for s, e in html_text.surge_and_dive(counts, window, threshold):
+            kept[s:e] = [True] * (e - s)
+        assert kept == brute_ranges(counts, window, threshold)
+
+
+def test_html_where_the_marks_are_wrong():
+    story = "".join(f"<p>{'a sentence of the story ' * 20}{k}</p>" for k in range(4))
+    short = "<p>Yes.</p><p>See <a href=/x>a long enough link to something else</a></p>"
+    menu = "".join(f"<li><a href=/{k}>entry {k}</a></li>" for k in range(6))
+    teaser = html_text.main_text(f"<ul>{menu}</ul><article><p>Teaser.</p></article><div>{story}{short}{story}</div><ul>{menu}</ul>")
+    assert teaser.startswith("Teaser.") and teaser.count("story") == 160 and "Yes. See a long enough" in teaser and "entry" not in teaser
+    marked = html_text.main_text(f"<div>{'some words beside it ' * 8}</div><article>{short}</article><ul>{menu}</ul>")
+    assert marked == "Yes. See a long enough link to something else"
+    inside = html_text.main_text(f"<article><p>Short.</p><div class=related>{menu}</div><nav>{menu}</nav><form>x</form><p>End.</p><section class=comments>{story}</section></article>")
+    assert inside == "Short. End."
+
+
+def test_html_awkward(spark):
+    rows = [(1, "u", None, "x", 5), (1, "u", None, "x", 5), (2, None, "", "y", 6), (None, "v", "<article>A <b>b</b></article>", "z", 7), (3, "w", "<p>" + "long " * 300_000, "z", 8), (3, "w", "<main>other</main>", "z", 8)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    got = sorted((r.page_id or 0, r.n_chars, r.text[:10]) for r in html_text.extract(df).collect())
+    assert got == [(0, 3, "A b"), (1, 0, ""), (1, 0, ""), (2, 0, ""), (3, 5, "other"), (3, 1_499_999, "long long ")]
+    assert html_text.extract(df.where("false")).isEmpty()
+
+
 def test_html_query(spark, sf_dir):
     rows = queries.queries()["op2_html_extraction"](spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
@@ -181,13 +268,74 @@ def test_block_max_search_is_exact():
     x[3] = x[7]
     x = x[x.any(1)]
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    index = toxicity.BlockMaxIndex(np.arange(len(x)), np.zeros(len(x), int), x, 16)
-    for q in range(0, len(x), 17):
-        c = np.flatnonzero(x[q])
-        place, score = index.nearest(c, x[q][c], 9)
-        cos = np.round(x @ x[q], 12)
-        want = [i for i in np.lexsort((np.arange(len(x)), -cos)) if cos[i] > 0][:9]
-        assert index.ids[place].tolist() == want and np.allclose(score, cos[want])
+    at, term = np.nonzero(x)
+    index = toxicity.BlockMaxIndex(np.arange(len(x)) * 3, np.zeros(len(x), int), at, term, x[at, term], 30, 16)
+    for left_out in (False, True):
+        own = np.argsort(index.rank)  # the position of each example
+        place, score = index.nearest(at, term, x[at, term], len(x), 9, own if left_out else None)
+        for q in range(len(x)):
+            cos = np.round(x @ x[q], 12)
+            want = [i for i in np.lexsort((np.arange(len(x)), -cos)) if cos[i] > 0 and not (left_out and i == q)][:9]
+            assert (index.ids[place[q][place[q] >= 0]] // 3).tolist() == want and np.allclose(score[q][: len(want)], cos[want])
+
+
+def brute_toxicity(texts, labels):
+    """(evidence, score) of all texts by plain dense arithmetic; labels: {doc_id: 0 or 1} of the examples."""
+
+    def terms(t):
+        out = collections.Counter()
+        for b in words(t.lower()):
+            out[b] += 1
+            out["pooled"] += 1
+            out.update((b[:n],) for n in toxicity.BEGINNINGS if len(b) > n)
+        return out
+
+    bags = {i: terms(t or "") for i, t in texts.items()}
+    n, n1 = len(labels), sum(labels.values())
+    tried = set().union(*(bags[i] for i in labels))
+    penalty = np.log(n) + 2 * toxicity.GAMMA * np.log(len(tried))
+    weight = {}
+    for term in tried:
+        seen = [labels[i] for i in labels if term in bags[i]]
+        a, c, g = sum(seen), len(seen), 0.0
+        for part, total, share in ((a, c, n1 / n), (c - a, c, 1 - n1 / n), (n1 - a, n - c, n1 / n), (n - n1 - c + a, n - c, 1 - n1 / n)):
+            g += 2 * part * np.log(part / (total * share)) if part else 0.0
+        idf = np.log(1 + len(texts) / sum(term in b for b in bags.values()))
+        if term == "pooled" or g > penalty:
+            weight[term] = idf * (1.0 if term == "pooled" else 1 - penalty / g)
+
+    def vector(i):
+        v = {t: (1 + np.log(k)) * weight[t] for t, k in bags[i].items() if t in weight}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = {i: vector(i) for i in texts}
+
+    def vote(i, among):
+        cos = sorted((-round(sum(x * vectors[j].get(t, 0) for t, x in vectors[i].items()), 12), j) for j in among)
+        near = [(-c, j) for c, j in cos if c < 0][: toxicity.NEIGHBOURS]
+        w = [1 / (max(0, 1 - c) + 0.05) for c, _ in near]
+        return [j for _, j in near], sum(x * labels[j] for x, (_, j) in zip(w, near, strict=True)) / sum(w) if near else None
+
+    there = sorted(j for j in labels if vectors[j])
+    some = [j for j in there if len(vectors[j]) > 1]
+    knots, levels = toxicity.isotonic(np.array([vote(j, [i for i in there if i != j])[1] for j in some]), np.array([labels[j] for j in some], float), np.ones(len(some)))
+    without = np.mean([labels[j] for j in labels if len(vectors[j]) < 2])
+    found = {i: vote(i, there) if len(v) > 1 else ([], None) for i, v in vectors.items()}
+    return {i: (near, without if v is None else float(np.clip(np.interp(v, knots, levels), 0, 1))) for i, (near, v) in found.items()}
+
+
+def test_toxicity_equals_dense_arithmetic(spark):
+    sf = "/root/testdata/sf0.01"
+    documents, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and texts.get(r.doc_id) is not None}
+    want = brute_toxicity(texts, known)
+    rows = toxicity.predict_toxicity(documents, labels).collect()
+    assert len(rows) == len(texts) and sum(bool(near) for near, _ in want.values()) > 20
+    for r in rows:
+        near, score = want[r.doc_id]
+        assert [e.doc_id for e in r.evidence] == near[:5] and abs(r.score - score) < 1e-9 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
 
 
 def test_isotonic():
@@ -269,7 +417,7 @@ def test_ann_recall(spark):
         got[r.query_id].append(r.vec_id)
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     want = brute_neighbours(rows, 20, lambda q: q % 20 == 0)
-    assert got.keys() == want.keys()
+    assert got.keys() == want.keys() and {len(g) for g in got.values()} == {20}
     assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
 
 
@@ -285,6 +433,23 @@ def test_ann_awkward(spark):
     assert ann.search(df.where("false"), F.lit(True)).isEmpty()
     few = ann.search(df.where("vec_id < 3"), F.lit(True)).collect()
     assert len(few) == 6
+    twice = spark.createDataFrame([(1, [1.0, 2.0]), (1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [3.0, 3.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in ann.search(twice, F.col("vec_id") == 1).collect()) == [(1, 1, 3, 3.0), (1, 2, 2, 0.0)]
+
+
+def test_ann_skips_blocks_without_loss(spark):
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 16)) * 3
+    x = centres[rng.integers(0, 12, 4000)] + rng.normal(size=(4000, 16)) * 0.3
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = collections.defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, block_vectors=200, train_vectors=500, query_chunk=64).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    want = brute_neighbours(list(enumerate(x)), 20, lambda q: q % 20 == 0)
+    assert got.keys() == want.keys() and {len(g) for g in got.values()} == {20}
+    assert np.mean([len(set(got[q]) & set(want[q])) / 20 for q in want]) >= 0.95
+    floor = ann.floors(x[:5], x[:300], 21)
+    assert all((x[:300] @ q >= f - 1e-9).sum() >= 21 for q, f in zip(x[:5], floor, strict=True))
 
 
 def test_anisotropic_codes_keep_the_parallel_part():
@@ -404,7 +569,7 @@ def test_contamination_equals_brute_force(spark):
     d = spark.createDataFrame([(*x, "r") for x in docs], "doc_id long, text string, runs string")
     b = spark.createDataFrame(items, "item_id long, text string")
     for block in (16 << 20, 60):  # the second makes many blocks
-        got = decontaminate.contamination(d, b, block_bytes=block).drop("runs").collect()
+        got = decontaminate.contamination(d, b, block_bytes=block).drop("runs", "matches").collect()
         assert sorted(tuple(r) for r in got) == sorted(brute_contamination(docs, items))
         bad = collections.Counter(r[0] for r in brute_contamination(docs, items) if not r[5])
         assert collections.Counter(r.doc_id for r in decontaminate.remove_contaminated(d, b, block_bytes=block).collect()) == bad
@@ -412,6 +577,37 @@ def test_contamination_equals_brute_force(spark):
     assert decontaminate.contamination(d.where("false"), b).isEmpty()
 
 
+def test_longest_matches_equal_brute_force(spark):
+    docs, items = contamination_case(spark)
+    got = {r.doc_id: {tuple(m) for m in r.matches} for r in decontaminate.contamination(spark.createDataFrame(docs[:60], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for doc_id, text in docs[:60]:
+        w, want = words(text), set()
+        for item, t in items:
+            v = words(t)
+            n = min(13, len(v))
+            place = {}
+            for q in range(len(v) - n + 1 if v else 0):
+                place.setdefault(tuple(v[q : q + n]), q)
+            at = [place.get(tuple(w[p : p + n])) if v else None for p in range(len(w) - n + 1)]
+            for p, q in enumerate(at):
+                if q is not None and not (p and q and at[p - 1] == q - 1):
+                    e = p
+                    while e + 1 < len(at) and at[e + 1] is not None and at[e + 1] == at[e] + 1:
+                        e += 1
+                    assert w[p : e + n] == v[q : q + e - p + n]
+                    want.add((str(item), q, p, e - p + n))
+        assert got[doc_id] == want
+
+
+def test_remove_contaminated_keeps_columns(spark):
+    docs, items = contamination_case(spark)
+    d = spark.createDataFrame([(i, t, i, "x") for i, t in docs], "doc_id long, text string, row long, `_row` string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    for block in (16 << 20, 60):
+        kept = decontaminate.remove_contaminated(d, b, block_bytes=block)
+        assert kept.columns == d.columns and all(r.row == r.doc_id and r._row == "x" for r in kept.collect())
+
+
 def test_contamination_query(spark, duck, sf_dir):
     got = queries.queries()["op7_decontaminate"](spark, sf_dir)
     names = got.columns
@@ -457,6 +653,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) and kept.columns == df.columns
 
 
+def test_rows_that_share_an_id_are_not_lost(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(rng.choices("abcdefghijklmnop", k=200)) for _ in range(3))
+    rows = [(1, a, 1), (1, b, 2), (1, b, 3), (2, a, 4), (3, b, 5), (4, c, 6), (4, None, 7), (4, None, 8), (5, c + " x", 9), (None, c, 10)]
+    df = spark.createDataFrame([(*r, "g") for r in rows], "doc_id long, text string, row_key long, _gone string")
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns
+    left = sorted(r.row_key for r in kept.collect())
+    assert len(left) == 5 and set(left) - {2, 3, 7, 8} == {1, 6, 10}
+    classes = collections.Counter((r.doc_id, r.class_id, r.is_kept) for r in minhash.near_duplicates(df).collect())
+    assert classes == {(1, 1, True): 3, (2, 1, False): 1, (3, 1, False): 1, (4, 4, True): 3, (5, 4, False): 1, (None, None, None): 1}
+
+
 def test_near_duplicates_with_lines_that_repeat(spark):
     rng = random.Random(17)
     v = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
@@ -542,6 +751,7 @@ def test_language_awkward(awkward, nothing):
     assert langid.accepted(awkward, model).where("lang IS NULL").isEmpty()
     none = langid.fit(nothing)
     assert {r.lang_pred for r in langid.identify(awkward, none).collect()} == {"und"}
+    assert langid.accepted(awkward, none).count() == 12
 
 
 # --- 10 paragraphs ---------------------------------------------------------------------------
@@ -578,54 +788,82 @@ def paragraph_case():
     return docs + [(120, None), (121, ""), (122, "\n\n")]
 
 
-def test_paragraphs_equal_brute_force(spark):
-    docs = paragraph_case()
-    df = spark.createDataFrame([(i, t, len(t or ""), "x") for i, t in docs], "doc_id long, text string, n_chars long, removed string").repartition(4)
-    rows = paragraphs.dedup_paragraphs(df, count_column="n_chars").collect()
-    want = brute_paragraphs(docs)
-    assert {r.doc_id: r.removed for r in rows if r.removed} == want
-    text = dict(docs)
-    for r in rows:
-        kept = None if text[r.doc_id] is None else "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in set(want.get(r.doc_id, [])))
-        assert r.text == kept and (kept is None or r.n_chars == len(kept))
-
-
-def test_paragraphs_awkward(awkward, nothing):
-    rows = {(r.doc_id, r.n_removed) for r in paragraphs.dedup_paragraphs(awkward).collect()}
-    assert rows == {(1, 0), (2, 0), (3, 0), (4, 0), (5, 1), (6, 1), (7, 0), (8, 0), (9, 1), (10, 0), (None, 0)}
-    assert paragraphs.dedup_paragraphs(nothing).isEmpty()
-
-
-def long_repeats(texts, n=51):
-    """Documents that hold a run of n words of an earlier one."""
-    seen, out = set(), set()
-    for i, t in texts:
+def brute_repeats(docs, n=51):
+    """doc_id: (words left, words removed, runs of removed words) by the rule of both levels."""
+    lines, seen, out = brute_paragraphs(docs), {}, {}
+    for i, t in docs:
         w = words(t)
-        here = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
-        out |= {i} if here & seen else set()
-        seen |= here
+        at = [k for k, x in enumerate((t or "").split("\n")) for _ in words(x)]
+        windows = [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+        gone = {k for k in range(len(w)) if at[k] in lines.get(i, [])} | {k + j for k, g in enumerate(windows) if g in seen for j in range(n)}
+        for g in windows:
+            seen.setdefault(g, i)
+        out[i] = ([x for k, x in enumerate(w) if k not in gone], len(gone), len([k for k in gone if k - 1 not in gone]))
     return out
 
 
-def test_passages_go_wherever_lines_break(spark, tmp_path):
+def passage_case():
+    """Passages inside longer lines, across line breaks, of 50 words and of 51, overlapping, and with a line that is alike."""
     rng = random.Random(23)
     v = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(2000)]
-    text = lambda n: " ".join(rng.choices(v, k=n))
-    p = text(60).split()
-    p, short, a, b, c, d = " ".join(p), " ".join(p[:50]), text(100), text(100), text(90), text(30)
-    broken = "\n".join(" ".join(p.split()[k : k + 10]) for k in range(0, 60, 10))
-    rows = [(1, p), (2, a + " " + p + " " + b), (3, c + "\n" + broken + "\n" + d), (4, text(80) + " " + short), (5, None), (6, "")]
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r for r in queries.queries()["op10_paragraph_dedup"](spark, str(tmp_path)).collect()}
-    assert {i: r.text for i, r in got.items()} == dict(rows) | {2: a + " " + b, 3: c + "\n" + d}
-    assert {i: (r.n_passages, r.passages_in) for i, r in got.items() if r.n_passages} == {2: (1, [1]), 3: (1, [1])}
+    text = lambda n: rng.choices(v, k=n)
+    pool = [text(n) for n in (50, 51, 52, 68, 120)]
+    docs = []
+    for k in range(150):
+        w = text(rng.randint(0, 80))
+        for _ in range(rng.choice((0, 0, 1, 1, 2))):
+            p = rng.choice(pool)
+            a = rng.choice((0, 0, 0, 5))
+            w += p[a:] + text(rng.randint(0, 40))
+        marks = [rng.choice((" ", " ", " ", " ", " ", " ", ", ", "\n" if k % 2 else " ")) for _ in w]
+        docs.append((k, "".join(x + m for x, m in zip(w, marks, strict=True)).strip()))
+    line = text(30)
+    docs += [(150, " ".join([*text(9), *pool[1][:15]]) + "\n" + " ".join(line)), (151, " ".join(line) + "\n" + " ".join(text(60))), (152, None), (153, ""), (154, "\n\n")]
+    return docs
+
+
+@pytest.mark.parametrize("case", ["paragraph_case", "passage_case", "both"])
+def test_paragraphs_equal_brute_force(spark, case):
+    docs = paragraph_case() if case == "paragraph_case" else passage_case()
+    if case == "both":
+        docs += [(200 + i, t) for i, t in paragraph_case()]
+    df = spark.createDataFrame([(i, t, len(t or ""), "x", i, "y") for i, t in docs], "doc_id long, text string, n_chars long, removed string, lines long, `_removed` string").repartition(4)
+    got = paragraphs.dedup_paragraphs(df, count_column="n_chars")
+    assert got.columns == [*df.columns, "n_removed", "n_spans", "kept_in"]
+    rows = got.collect()
+    lines, want, text = brute_paragraphs(docs), brute_repeats(docs), dict(docs)
+    assert {r.doc_id: r.removed for r in rows if r.removed} == lines
+    assert {r.doc_id: (words(r.text), r.n_removed, r.n_spans) for r in rows} == want
+    for r in rows:
+        assert (r.text == text[r.doc_id]) == (r.n_removed == 0) and bool(r.kept_in) == (r.n_removed > 0)
+        assert r.text is None or r.n_chars == len(r.text)
+        assert r.lines == r.doc_id and r._removed == "y"
+        if want[r.doc_id][1] == sum(len(words(x)) for k, x in enumerate((text[r.doc_id] or "").split("\n")) if k in lines.get(r.doc_id, [])):  # lines only
+            assert r.text == (None if text[r.doc_id] is None else "\n".join(x for k, x in enumerate(text[r.doc_id].split("\n")) if k not in set(lines.get(r.doc_id, []))))
+
+
+def test_cut_keeps_the_rest():
+    w = [f"w{k}" for k in range(60)]
+    some = "Left, (in). " + " ".join(w[:51]) + "! Right.\nNext"
+    assert passages.cut(some, np.array([], int), np.array([2]), np.array([1])) == ("Left, (in). Right.\nNext", 51, 1)
+    lines = "a b\n" + "\n".join(" ".join(w[k : k + 17]) + "." for k in (0, 17, 34)) + "\n\nc"
+    assert passages.cut(lines, np.array([], int), np.array([2]), np.array([1])) == ("a b\n\nc", 51, 1)
+    assert passages.cut(lines, np.array([0]), np.array([2]), np.array([1])) == ("\nc", 53, 1)
+    assert passages.cut(" ".join(w), np.array([], int), np.array([0, 9]), np.array([1, 1])) == ("", 60, 1)
+
+
+def test_paragraphs_awkward(spark, awkward, nothing):
+    rows = sorted((r.doc_id or 0, r.n_removed > 0) for r in paragraphs.dedup_paragraphs(awkward).collect())
+    assert rows == sorted([(1, False), (2, False), (3, False), (4, False), (5, True), (6, True), (7, False), (7, False), (8, False), (9, True), (10, False), (0, False)]), rows
+    assert paragraphs.dedup_paragraphs(nothing).isEmpty()
+    twice = spark.createDataFrame([(1, "x " * 60 + "a"), (1, "y z " * 40), (1, "y z " * 40), (2, "q " + "y z " * 40)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_removed) for r in paragraphs.dedup_paragraphs(twice).collect()) == [(1, 0), (1, 0), (1, 0), (2, 80)]
 
 
 def test_no_long_repeat_is_left(spark, sf_dir, documents):
     rows = queries.queries()["op10_paragraph_dedup"](spark, sf_dir).collect()
-    lines = {r.doc_id: r.text for r in paragraphs.dedup_paragraphs(documents).collect()}
-    assert len(rows) == len(lines) and long_repeats(sorted((r.doc_id, r.text) for r in rows)) == set()
-    assert {r.doc_id for r in rows if r.text != lines[r.doc_id]} == long_repeats(sorted(lines.items()))
+    docs = sorted((r.doc_id, r.text) for r in documents.collect())
+    assert {r.doc_id: (words(r.text), r.n_removed, r.n_spans) for r in rows} == brute_repeats(docs)
 
 
 def test_tuned_bands():
@@ -650,9 +888,10 @@ def test_pipeline_stages(spark, sf_dir, documents):
     two = stages["near_duplicates"](spark, docs, sf_dir)
     assert two.columns == docs.columns and {r.doc_id for r in two.collect()} == set(root.values())
     three = stages["repeated_passages"](spark, docs, sf_dir)
-    gone = brute_paragraphs(sorted(rows.items()))
     assert three.columns == docs.columns
-    assert {r.doc_id: r.text for r in three.collect()} == {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in set(gone.get(i, []))) for i, t in rows.items()}
+    left = brute_repeats(sorted(rows.items()))
+    assert {r.doc_id: words(r.text) for r in three.collect()} == {i: w for i, (w, _, _) in left.items()}
+    assert all(r.text == rows[r.doc_id] or left[r.doc_id][1] for r in three.collect())
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     four = stages["decontamination"](spark, docs, sf_dir)
     assert four.columns == docs.columns and {r.doc_id for r in four.collect()} == {r[0] for r in brute_contamination(rows.items(), items) if not r[5]}
@@ -661,6 +900,64 @@ def test_pipeline_stages(spark, sf_dir, documents):
     assert {r.doc_id for r in final} <= set(root.values())
 
 
+@pytest.fixture(scope="session")
+def clashing(awkward):
+    """The awkward rows with columns named like those that operators add or use."""
+    names = ["removed", "kept_in", "n_removed", "n_spans", "lines", "spans_in", "own_id", "gone", "row_key", "_gone", "row", "_row", "key", "anchors", "block", "n_tokens", "doc.id"]
+    return awkward.withColumns({n: F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) for n in names if n not in awkward.columns})
+
+
+def test_stages_on_awkward_rows(spark, clashing, sf_dir):
+    import corpus_pipeline as cp
+
+    want = {"language_id": [4, 5, 6, 7, 7, 8, 9, 10, None], "near_duplicates": [1, 2, 3, 4, 7, 8, 9, 10, None], "repeated_passages": [1, 2, 3, 4, 5, 6, 7, 7, 8, 9, 10, None], "decontamination": [1, 2, 3, 4, 5, 6, 7, 7, 8, 9, 10, None]}
+    for name, stage in cp.STAGES[:-1]:
+        got = stage(spark, clashing, sf_dir)
+        assert got.columns == clashing.columns, name
+        rows = got.collect()
+        assert sorted(str(r.doc_id) for r in rows) == sorted(map(str, want[name])), name
+        for r in rows:
+            assert r["doc.id"] == f"doc.id {'null' if r.doc_id is None else r.doc_id}" and r["_row"] == r["doc.id"].replace("doc.id", "_row") and r.removed == r["doc.id"].replace("doc.id", "removed")
+            assert r.n_chars == (None if not r.text and r.doc_id in (1, 2) else len(r.text)) or name != "repeated_passages"
+        empty = stage(spark, clashing.where("false"), sf_dir)
+        assert empty.columns == clashing.columns and empty.isEmpty(), name
+    name, stage = cp.STAGES[-1]
+    rows = stage(spark, clashing, sf_dir).collect()
+    check_bins(rows, packing.CAPACITIES)
+    assert {r.doc_id for r in rows} == {r.doc_id for r in clashing.select("doc_id").collect()} and {r.doc_id for r in rows if r.bin_id is None} == {1, 2}
+    assert stage(spark, clashing.where("false"), sf_dir).isEmpty()
+
+
+def test_run_on_awkward_and_empty_tables(spark, awkward, nothing, tmp_path):
+    import corpus_pipeline as cp
+
+    for name, docs in (("awkward", awkward), ("empty", nothing)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        rows = cp.run(spark, f"{tmp_path}/{name}").collect()
+        check_bins(rows, packing.CAPACITIES)
+        assert {r.doc_id for r in rows} == ({4, 7, 8, 9, 10, None} if name == "awkward" else set())
+
+
+def test_chained_stages_equal_brute_force(spark, sf_dir, documents):
+    """Every stage by its own brute force, on what the one before kept."""
+    import corpus_pipeline as cp
+
+    rows = {r.doc_id: r.text for r in documents.collect() if any(c.isalpha() for c in r.text or "")}
+    sets = {i: shingles(t) for i, t in rows.items()}
+    root = union_find(sets, [(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8])
+    rows = {i: rows[i] for i in sorted(set(root.values()))}
+    left = {i: w for i, (w, _, _) in brute_repeats(sorted(rows.items())).items()}
+    docs = documents
+    for _, stage in cp.STAGES[:3]:
+        docs = stage(spark, docs, sf_dir)
+    got = {r.doc_id: r.text for r in docs.collect()}
+    assert {i: words(t) for i, t in got.items()} == left
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    clean = {r[0] for r in brute_contamination(got.items(), items) if not r[5]}
+    assert {r.doc_id for r in cp.run(spark, sf_dir).collect()} == clean
+
+
 def test_text_bytes_of_a_slice():
     from pagewright.llm.shared import Words, text_bytes
 
