@@ -185,7 +185,10 @@ def _result(name: str, kind: str, sql: str, make) -> None:
 
 
 _PAGE = "input_path := 'p' || page_id, page_index := page_id"
-_paged = {"input_path": F.concat(F.lit("p"), "page_id"), "page_index": F.col("page_id")}
+
+
+def _paged():
+    return {"input_path": F.concat(F.lit("p"), "page_id"), "page_index": F.col("page_id")}
 
 
 def _one(rows, **columns):
@@ -193,7 +196,7 @@ def _one(rows, **columns):
     listed = F.array_sort(F.collect_list(F.struct("box_id", *[v.alias(k) for k, v in columns.items()])))
     out = rows.groupBy("page_id").agg(listed.alias("l"))
     field = lambda k: lambda x: x[k]
-    return out.withColumns(_paged | {k: F.transform("l", field(k)) for k in columns})
+    return out.withColumns(_paged() | {k: F.transform("l", field(k)) for k in columns})
 
 
 _result("result_ocr", "ocr", f"{WITH} SELECT page_id, CAST(to_json(struct_pack({_PAGE}, text_type := 'general', text_rec_score_thresh := 0.0::DOUBLE, return_word_box := false, rec_texts := list(label ORDER BY box_id), rec_scores := list(score ORDER BY box_id), rec_boxes := list([x1, y1, x2, y2] ORDER BY box_id))) AS VARCHAR) AS json FROM fx GROUP BY page_id", lambda s, d: _one(boxes(s, d), rec_texts=F.col("label"), rec_scores=F.col("score"), rec_boxes=F.array(*G.SIDES)).withColumns({"text_type": F.lit("general"), "text_rec_score_thresh": F.lit(0.0), "return_word_box": F.lit(False)}))
@@ -206,15 +209,15 @@ _result("result_classes", "classes", f"{WITH} SELECT page_id, CAST(to_json(struc
 _result("result_text_detection", "text_detection", f"{WITH} SELECT page_id, CAST(to_json(struct_pack({_PAGE}, dt_polys := list([[x1, y1], [x2, y1], [x2, y2], [x1, y2]] ORDER BY box_id), dt_scores := list(score ORDER BY box_id))) AS VARCHAR) AS json FROM fx GROUP BY page_id", lambda s, d: _one(boxes(s, d), dt_polys=F.array(F.array("x1", "y1"), F.array("x2", "y1"), F.array("x2", "y2"), F.array("x1", "y2")), dt_scores=F.col("score")))
 
 
-def _row_result(name: str, kind: str, sql_fields: str, **columns) -> None:
+def _row_result(name: str, kind: str, sql_fields: str, columns) -> None:
     sql = f"{WITH} SELECT page_id, box_id, CAST(to_json(struct_pack({_PAGE}, {sql_fields})) AS VARCHAR) AS json FROM fx"
-    query(name, sql)(lambda spark, d: chains.result_json(boxes(spark, d).withColumns(_paged | columns), kind, None, "page_id", "box_id"))
+    query(name, sql)(lambda spark, d: chains.result_json(boxes(spark, d).withColumns(_paged() | columns()), kind, None, "page_id", "box_id"))
 
 
-_row_result("result_formula", "formula", "rec_formula := 'x_' || box_id", rec_formula=F.concat(F.lit("x_"), "box_id"))
-_row_result("result_text_recognition", "text_recognition", "rec_text := label, rec_score := score / 100.0::DOUBLE", rec_text=F.col("label"), rec_score=F.col("score") / F.lit(100.0))
-_row_result("result_preprocessor", "preprocessor", "angle := box_id % 4 * 90", angle=F.col("box_id") % 4 * 90)
-_row_result("result_unwarping", "unwarping", "doctr_img := 'img_' || box_id", doctr_img=F.concat(F.lit("img_"), "box_id"))
+_row_result("result_formula", "formula", "rec_formula := 'x_' || box_id", lambda: {"rec_formula": F.concat(F.lit("x_"), "box_id")})
+_row_result("result_text_recognition", "text_recognition", "rec_text := label, rec_score := score / 100.0::DOUBLE", lambda: {"rec_text": F.col("label"), "rec_score": F.col("score") / F.lit(100.0)})
+_row_result("result_preprocessor", "preprocessor", "angle := box_id % 4 * 90", lambda: {"angle": F.col("box_id") % 4 * 90})
+_row_result("result_unwarping", "unwarping", "doctr_img := 'img_' || box_id", lambda: {"doctr_img": F.concat(F.lit("img_"), "box_id")})
 
 
 # --- functions -------------------------------------------------------------------------------
