@@ -355,7 +355,7 @@ def model_files(folder: str, prefix: str = "inference") -> dict[str, tuple[str,
     found = {}
     program = next((at(s) for s in ("json", "pdmodel") if at(s).exists()), None)
     if program and at("pdiparams").exists():
-        found["paddle"] = (str(program), str(at("pdiparams")))
+        found["program"] = (str(program), str(at("pdiparams")))
     return found | {s: (str(at(s)),) for s in ("onnx", "om") if at(s).exists()}
 
 

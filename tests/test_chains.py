@@ -83,9 +83,9 @@ def test_devices_and_model_files(tmp_path):
             chains.device(bad)
     for name in ("inference.pdmodel", "inference.pdiparams", "inference.onnx", "other.om"):
         (tmp_path / name).touch()
-    assert set(chains.model_files(str(tmp_path))) == {"paddle", "onnx"}
+    assert set(chains.model_files(str(tmp_path))) == {"program", "onnx"}
     (tmp_path / "inference.json").touch()
-    assert chains.model_files(str(tmp_path))["paddle"][0].endswith("inference.json")
+    assert chains.model_files(str(tmp_path))["program"][0].endswith("inference.json")
 
 
 def test_bad_bytes_and_letters(spark):
