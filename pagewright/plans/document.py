@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import geometry as G
 from pagewright.functions import text
-from pagewright.operators import detect, match, models, order, sequence
+from pagewright.operators import content, detect, match, models, order, sequence
 from pagewright.plans import chains
 
 PAGE = "page_id"
@@ -85,32 +85,36 @@ def assemble(blocks: DataFrame, spans: DataFrame, options: Options = Options())
     return rows.groupBy(PAGE).agg(F.array_join(F.transform(ordered, lambda b: b.block_content), "\n\n").alias("text"), F.count(F.lit(1)).alias("n_blocks"))
 
 
+VISUAL = ("image", "table", "formula", "seal", "chart")
+
+
 def parse(blocks: DataFrame, spans: DataFrame, options: Options = Options()) -> DataFrame:
-    """Blocks with content and reading order: page_id, box_id, label, sides, block_content, order_index.
+    """Blocks with content and reading order: all columns of ``blocks``, block_content, order_index, and the measures of the text lines.
 
-    The reading order uses the text lines of each block, and regions where ``blocks`` has region_id.
+    Text blocks have the text of their spans (see ``content.block_text``), empty where there are
+    none; blocks of other kinds have their label.  Blocks are ordered in regions where
+    ``blocks`` has region_id.
     """
-    rows = contents(detect.relabel(clean(blocks, options)), spans, options)
-    return rows.join(_ordered(rows, spans, options), [PAGE, "box_id"])
+    return _measured(detect.relabel(clean(blocks, options)), spans, options)
 
 
-def _ordered(rows: DataFrame, spans: DataFrame, options: Options) -> DataFrame:
-    visual = ("image", "table", "formula", "seal", "chart")
-    bridge = match.match_blocks_to_spans(rows.where(~F.col("label").isin(*visual)), spans, options.match)
-    return order.reading_order(rows.join(chains.lines_of_blocks(spans, bridge), [PAGE, "box_id"], "left"))
+def _measured(rows: DataFrame, spans: DataFrame, options: Options) -> DataFrame:
+    bridge = match.match_blocks_to_spans(rows.where(~F.col("label").isin(*VISUAL)), spans, options.match)
+    texts = content.block_contents(rows, spans, bridge)
+    rows = rows.join(texts, [PAGE, "box_id"], "left").withColumn("block_content", F.when(F.col("label").isin(*VISUAL), F.col("label")).otherwise(F.coalesce("block_content", F.lit(""))))
+    return rows.join(order.reading_order(rows), [PAGE, "box_id"]).withColumn("num_of_lines", F.coalesce("lines", F.lit(1)))
 
 
 def parse_direct(blocks: DataFrame, spans: DataFrame, recogniser: models.Predictor, options: Options = Options()) -> DataFrame:
     """As ``parse``, but text blocks are read one by one by a recogniser; the spans only give the lines."""
-    rows = chains.relabel_direct(clean(blocks, options))
+    rows = _measured(chains.relabel_direct(clean(blocks, options)), spans, options)
     read = recognise_blocks(rows, recogniser).select(PAGE, "box_id", F.col("text").alias("_text"))
-    rows = rows.join(read, [PAGE, "box_id"], "left").withColumn("block_content", F.coalesce("_text", "label")).drop("_text")
-    return rows.join(_ordered(rows, spans, options), [PAGE, "box_id"])
+    return rows.join(read, [PAGE, "box_id"], "left").withColumn("block_content", F.coalesce("_text", "block_content")).drop("_text")
 
 
 def recognise_blocks(blocks: DataFrame, recogniser: models.Predictor) -> DataFrame:
     """Text of each block by a recogniser run on text blocks alone: the filter comes before the model."""
-    wanted = blocks.where(~F.col("label").isin("image", "table", "formula", "seal", "chart")).select(PAGE, "box_id", *G.SIDES)
+    wanted = blocks.where(~F.col("label").isin(*VISUAL)).select(PAGE, "box_id", *G.SIDES)
     return models.predict(models.sorted_for_batches(wanted), recogniser, "page_id long, box_id long, text string, score double")
 
 
